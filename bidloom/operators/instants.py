@@ -19,7 +19,7 @@ SOURCE_ZONES = {"nupco": "Asia/Riyadh", "joneps": "Asia/Amman"}
 _DAY_NAME = r"(?:(?:sat|sun|mon|tue|wed|thu|fri)[a-z]*\.?,?\s+)?"
 _CLOCK = (
     r"(?:(?:\s*,\s*|\s+|t)(?<hh>[0-9]{1,2}):(?<mi>[0-9]{2})(?::(?<ss>[0-9]{2})(?:[.,][0-9]+)?)?"
-    r"(?:\s*(?<half>am|pm|a\.m\.|p\.m\.|ص|م))?)?"
+    r"(?:\s*(?<half>am|pm|a\.m\.|p\.m\.|ص|م)(?![a-z]))?)?"
 )
 _ZONE = (
     r"(?:\s*(?:(?<utc>z|utc|gmt)?(?:(?<sign>[+-])(?<oh>[0-9]{1,2})(?::?(?<om>[0-9]{2}))?)?"
