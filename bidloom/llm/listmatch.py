@@ -36,7 +36,8 @@ STRENGTH_UNITS = {
 
 _DIGITS = str.maketrans("٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹", "0123456789" * 2)
 _REMARK = re.compile(r"(?<![^\W_])(?:" + "|".join(r"\W+".join(r.split()) for r in REMARKS) + r")(?![^\W_])")
-_KIT = re.compile(r"(?<![^\W_])(?:TEST\W*KITS?|KITS?\W*,\W*TESTS?)(?![^\W_])")
+#: "KIT, TEST" goes first: in "60 TEST KIT, TEST" the first TEST belongs to the strength.
+_KITS = (re.compile(r"(?<![^\W_])KITS?\s*,\s*TESTS?(?![^\W_])"), re.compile(r"(?<![^\W_])TEST\W*KITS?(?![^\W_])"))
 _UNITS = "|".join(sorted(STRENGTH_UNITS, key=len, reverse=True))
 _STRENGTH = re.compile(r"(?<![^\W_])([0-9]+(?:[.,][0-9]+)*)[\s-]*(" + _UNITS + r")(?![^\W_])|(?<![^\W_])(FRENCH|FR|CH)[\s-]*([0-9]+)(?![^\W_])")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -62,8 +63,9 @@ def parse_product(text: str) -> tuple[str, tuple[str, float] | None, str | None]
     """
     up = _REMARK.sub(" ", text.upper().translate(_DIGITS))
     form = None
-    if _KIT.search(up):
-        form, up = "TEST KIT", _KIT.sub(" ", up)
+    for kit in _KITS:
+        if form is None and kit.search(up):
+            form, up = "TEST KIT", kit.sub(" ", up)
     strength = None
     if m := _STRENGTH.search(up):
         strength = strength_of(m[1] or m[4], m[2] or m[3])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidloom.llm import canonical, listmatch
+from bidloom.llm import canonical, leakage, listmatch
 from bidloom.session import table
 
 
@@ -26,8 +26,19 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return listmatch.match_products(table(spark, d, "tender_items"), table(spark, d, "product_list"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    leaks = leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leaks.where((F.col("distance") == 0) & (F.col("longest_run") >= 13)).select("doc_id", "item_id")
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """One row per leaked test item: the documents that hold a passage of it, exactly or with one changed word."""
+    leaks = leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leaks.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.sum((F.col("distance") == 0).cast("long")).alias("exact"), F.max("longest_run").alias("longest_run"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_sets, p5_found)}
+    return {f.__name__: f for f in (p1_found, p1_sets, p5_found, p8_found, p8_report)}
 
 
 def oracle_sql() -> dict[str, str]:
