@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidloom.llm import canonical, leakage, listmatch, spans
+from bidloom.llm import canonical, leakage, listmatch, mixing, spans
 from bidloom.session import table
 
 
@@ -37,12 +37,20 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return leaks.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.sum((F.col("distance") == 0).cast("long")).alias("exact"), F.max("longest_run").alias("longest_run"))
 
 
+def p9_corpus(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.share_report(*mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_characters(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_sets, p5_found, p8_found, p8_report, p10_found)}
+    return {f.__name__: f for f in (p1_found, p1_sets, p5_found, p8_found, p8_report, p9_corpus, p9_report, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
