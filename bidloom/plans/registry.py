@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidloom.plans import problems
+from bidloom.plans import analogs, portal, problems
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(problems.QUERIES)
+    return {**problems.QUERIES, **portal.QUERIES, **analogs.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(problems.ORACLES)
+    return {**problems.ORACLES, **portal.ORACLES, **analogs.ORACLES}
