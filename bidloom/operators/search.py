@@ -48,7 +48,8 @@ def search(documents: DataFrame, key: str, text: Column, query: str) -> DataFram
     if not tokens:
         return own.select(key, F.lit(0.0).alias("score"))
     sized = own.select(key, words(text).alias("w"))
-    tf = {i: F.size(F.filter("w", lambda x, t=t: x.startswith(t))) for i, t in enumerate(tokens)}
+    begun = lambda t: F.size(F.filter("w", lambda x: x.startswith(t)))
+    tf = {i: begun(t) for i, t in enumerate(tokens)}
     hits = sized.select(key, F.size("w").alias("dl"), *[n.alias(f"tf{i}") for i, n in tf.items()])
     stats = hits.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in tf]).select("*", F.lit(1).alias("one"))
     found = hits
