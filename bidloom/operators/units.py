@@ -61,7 +61,8 @@ def _phrase(text: Column, dot_groups: Column) -> dict[str, Column]:
 
 
 def common_amounts(items: DataFrame, key: str = "id", text: str = "qty_raw", unit: str = "uom", dot_groups: Column | None = None) -> DataFrame:
-    """Adds base_unit (each, mg, ml, mm) and base_amount (decimal) to every row; both null where `text` states no number.
+    """Adds base_unit (each, mg, ml, mm) and base_amount (decimal) to every row; both null where `text` states no number; an amount
+    beyond 20 digits is null.
 
     amount = the leading number x the multiple words (dozen, thousand) x the unit. The unit is what the text itself names behind the
     number (a measure, pieces, or a pack with its content); else what the unit field names; else each. A pack with stated content
@@ -90,8 +91,8 @@ def common_amounts(items: DataFrame, key: str = "id", text: str = "qty_raw", uni
     field_times = F.when(c("_u_times").isNotNull() & ~c("_u_times_factor").eqNullSafe(c("_q_times_factor")), c("_u_times_factor")).otherwise(F.lit(1))
     field_factor = F.coalesce(c("_u_unit_factor"), F.lit(1)) * F.coalesce(c("_u_content"), one) * field_times
     factor = F.coalesce(c("_q_times_factor"), F.lit(1)) * F.when(named, own_factor).otherwise(field_factor)
-    amount = (c("_n").cast("decimal(18,6)") * factor.cast("decimal(18,6)")).cast("decimal(36,9)")
-    return df.select(*keep, F.when(c("_n").isNotNull(), unit_base).alias("base_unit"), F.when(c("_n").isNotNull(), amount).alias("base_amount"))
+    amount = F.try_multiply(c("_n").try_cast("decimal(20,6)"), factor.try_cast("decimal(17,6)"))
+    return df.select(*keep, F.when(c("_n").isNotNull(), unit_base).alias("base_unit"), amount.alias("base_amount"))
 
 
 def converted_items(items: DataFrame, second_portal_from: int = 10**12) -> DataFrame:
@@ -103,4 +104,4 @@ def converted_items(items: DataFrame, second_portal_from: int = 10**12) -> DataF
     rows = items.select("id", "uom", "qty_raw", "qty", "post_id").where(F.col("qty_raw").isNotNull() & F.col("id").isNotNull())
     done = common_amounts(rows, dot_groups=F.col("post_id") >= second_portal_from).where(F.col("base_amount").isNotNull())
     differs = F.col("qty").isNull() | (F.col("base_amount").cast("double") != F.col("qty"))
-    return done.where(differs).select(F.col("id").alias("item_id"), "base_unit", F.col("base_amount").cast("long").alias("base_qty")).dropDuplicates()
+    return done.where(differs).select(F.col("id").alias("item_id"), "base_unit", F.col("base_amount").try_cast("long").alias("base_qty")).dropDuplicates()

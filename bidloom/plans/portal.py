@@ -357,7 +357,7 @@ def item_search(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_bm25("tenders", "post_id", "concat_ws(' ', title_en, title_ar, tender_id)", ["supply", "med"], 50))
 def tender_search(spark: SparkSession, d: str) -> DataFrame:
-    found = search.search(table(spark, d, "tenders"), "post_id", F.concat_ws(" ", "title_en", "title_ar", "tender_id"), '"supply" AND med')
+    found = search.search(table(spark, d, "tenders"), "post_id", F.concat_ws(" ", "title_en", "title_ar", "tender_id"), '"supply" -- med*;')
     return found.select("post_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "post_id").limit(50)
 
 
