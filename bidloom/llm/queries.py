@@ -53,5 +53,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_sets, p5_found, p8_found, p8_report, p9_corpus, p9_report, p10_found)}
 
 
+def _canonical_sql() -> str:
+    bare = lambda t: f"regexp_replace(lower(url_decode(replace({t}, '+', '%2B'))), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g')"
+    pair = f"{bare("regexp_extract(p, '^([^=]*)', 1)")} || '=' || {bare("regexp_extract(p, '(?s)^[^=]*=(.*)$', 1)")}"
+    query = "string_split_regex(regexp_extract(regexp_replace(url, '#[^?]*$', ''), '(?s)^[^?]*\\?(.*)$', 1), '[&;]')"
+    url = f"{bare("regexp_extract(url, '(?s)^([^?#]*)', 1)")} || '?' || array_to_string(list_sort(list_filter(list_transform({query}, lambda p: {pair}), lambda x: x <> '=')), '&')"
+    return f"SELECT post_id, {bare('tender_id')} || chr(1) || {url} AS key FROM tenders WHERE tender_id IS NOT NULL AND url IS NOT NULL AND post_id IS NOT NULL"
+
+
+_RUNS = r"""WITH d AS (SELECT DISTINCT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
+  i AS (SELECT DISTINCT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM eval_items WHERE text IS NOT NULL),
+  g AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 11)) AS k FROM i WHERE len(w) >= 13)),
+  x AS (SELECT doc_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13))
+  SELECT DISTINCT doc_id, item_id FROM x JOIN g USING (g)"""
+
+_SHARED = """WITH g AS (SELECT doc_id, k, hash(substr(text, k, 240)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS k FROM documents WHERE length(text) >= 240)),
+  r AS (SELECT h FROM g GROUP BY h HAVING MIN(doc_id) <> MAX(doc_id)), p AS (SELECT DISTINCT doc_id, k FROM g WHERE h IN (SELECT h FROM r)),
+  s AS (SELECT doc_id, k, LAG(k) OVER (PARTITION BY doc_id ORDER BY k) AS b FROM p)
+  SELECT doc_id, SUM(CASE WHEN b IS NULL THEN 240 ELSE LEAST(k - b, 240) END)::BIGINT AS shared_chars FROM s GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; matching, mixing and reports with edit distances have none."""
+    key = _canonical_sql()
+    return {
+        "p1_found": f"SELECT k AS kept_post_id, post_id AS copy_post_id FROM (SELECT post_id, MIN(post_id) OVER (PARTITION BY key) AS k FROM ({key})) WHERE k <> post_id",
+        "p1_sets": f"SELECT MIN(post_id) AS kept_post_id, COUNT(*) AS copies FROM ({key}) GROUP BY key",
+        "p8_found": _RUNS,
+        "p10_found": _SHARED,
+    }
