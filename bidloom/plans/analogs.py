@@ -26,11 +26,11 @@ def product_price_summary(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
     flag = F.when(c("l_tax") > 0, 1).when(c("l_tax") == 0, 0)
     out = marts.group_summary(lines, c("product"), X.unit_cost(c("l_extendedprice"), c("l_quantity")), c("s_name"), c("l_extendedprice"), flag, F.date_format("l_shipdate", "yyyy-MM-dd"))
-    return out.withColumns({n: F.round(n, 4) for n in ("min_value", "median_value", "max_value", "amount")})
+    return out.withColumns({"amount": F.round("amount", 2)} | {n: F.round(n, 9) for n in ("min_value", "median_value", "max_value")})
 
 
-_PRICES = f"""SELECT product AS key, COUNT(*) AS lines, ROUND(MIN(v), 4) AS min_value, ROUND(MEDIAN(v), 4) AS median_value, ROUND(MAX(v), 4) AS max_value, STRING_AGG(DISTINCT s_name, ',' ORDER BY s_name) AS names,
-  ROUND(SUM(l_extendedprice), 4) AS amount, COUNT(*) FILTER (WHERE l_tax > 0) AS flagged, COUNT(*) FILTER (WHERE l_tax = 0) AS unflagged, COUNT(*) FILTER (WHERE l_tax IS NULL) AS unknown,
+_PRICES = f"""SELECT product AS key, COUNT(*) AS lines, ROUND(MIN(v), 9) AS min_value, ROUND(MEDIAN(v), 9) AS median_value, ROUND(MAX(v), 9) AS max_value, STRING_AGG(DISTINCT s_name, ',' ORDER BY s_name) AS names,
+  ROUND(SUM(l_extendedprice), 2) AS amount, COUNT(*) FILTER (WHERE l_tax > 0) AS flagged, COUNT(*) FILTER (WHERE l_tax = 0) AS unflagged, COUNT(*) FILTER (WHERE l_tax IS NULL) AS unknown,
   MAX(strftime(l_shipdate, '%Y-%m-%d')) AS latest FROM (SELECT *, CASE WHEN l_extendedprice <> 0 AND l_quantity <> 0 THEN l_extendedprice / l_quantity END AS v FROM {_LINES}) GROUP BY product ORDER BY lines DESC, key LIMIT 100"""
 
 
