@@ -181,10 +181,11 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
     if len(listed) > most_products:
         raise ValueError(f"the list has more than {most_products} entries")
     entries: dict[tuple, str] = {}
-    for r in sorted((r for r in listed if None not in r), key=lambda r: r["list_code"]):
-        number, _, unit = r["strength"].upper().partition(" ")
+    for code, generic, stated, form in sorted(tuple(r) for r in listed if None not in tuple(r)):
+        number, _, unit = stated.upper().partition(" ")
         strength = strength_of(number, unit) if unit in STRENGTH_UNITS else None
-        entries.setdefault(("".join(_WORDS.findall(r["generic_name"].upper())), strength, r["dosage_form"].upper()), r["list_code"])
+        if strength is not None:
+            entries.setdefault(("".join(_WORDS.findall(generic.upper())), strength, form.upper()), code)
     names = [k[0] for k in entries]
     codes = sorted({r["list_code"] for r in listed if r["list_code"] is not None})
     usable = items.sparkSession.createDataFrame([(c,) for c in codes], "nupco_code string")
