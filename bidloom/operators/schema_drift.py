@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bidloom.session import cut
+
 #: The item columns that a label may fill, by their value.
 FIELDS = ("sn", "nupco_code", "description", "uom", "qty_raw")
 
@@ -77,7 +79,8 @@ def label_lifespans(items: DataFrame, files: DataFrame, catalogue: DataFrame | N
 
     Where two labels of one file fill one field, the alphabetically first stands for it.
     """
-    catalogue = label_catalogue(items) if catalogue is None else catalogue
+    # The catalogue is read twice, with other columns each time; written once, the raw rows are parsed once.
+    catalogue = cut(label_catalogue(items)) if catalogue is None else catalogue
     own = files.where(F.col("feed").isNotNull() & F.col("file_no").isNotNull()).select("attachment_id", "feed", "file_no")
     named = catalogue.select("attachment_id", "label", "types").join(alias_table(catalogue), "label", "left")
     keyed = named.withColumn("field_key", F.coalesce(F.col("field"), F.concat(F.lit("label "), F.col("label"))))
