@@ -175,6 +175,17 @@ def percent_encoded(text: Column) -> Column:
     return F.url_encode(F.coalesce(text, F.lit("")))
 
 
+def detail_url(base: str, **parts: Column) -> Column:
+    """A plain link to a tender: base and the parts as encoded parameters, in their order."""
+    pairs = [F.concat(F.lit(f"{name}="), percent_encoded(value)) for name, value in parts.items()]
+    return F.concat(F.lit(base + "?"), F.concat_ws("&", *pairs))
+
+
+def shown_title(english: Column, arabic: Column) -> Column:
+    """The English title, else the Arabic one."""
+    return F.coalesce(none_if_empty(english), none_if_empty(arabic))
+
+
 def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 

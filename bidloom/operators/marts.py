@@ -87,6 +87,14 @@ def by_country(tenders: DataFrame) -> DataFrame:
     return tenders.groupBy(country_of().alias("country")).agg(F.count(F.lit(1)).alias("tenders"), F.count_if(is_open()).alias("open_tenders"))
 
 
+def source_totals(tenders: DataFrame, items: DataFrame, attachments: DataFrame) -> DataFrame:
+    """(source, tenders, items, files): totals per portal; each id counts once."""
+    count = lambda df, name: df.select("id", "post_id").dropDuplicates(["id"]).groupBy("post_id").agg(F.count(F.lit(1)).alias(name))
+    own = tenders.select("post_id", F.coalesce("source", F.lit("nupco")).alias("source"))
+    joined = own.join(count(items, "i"), "post_id", "left").join(count(attachments, "f"), "post_id", "left")
+    return joined.groupBy("source").agg(F.count(F.lit(1)).alias("tenders"), F.coalesce(F.sum("i"), F.lit(0)).alias("items"), F.coalesce(F.sum("f"), F.lit(0)).alias("files"))
+
+
 def group_summary(rows: DataFrame, key: Column, value: Column, names: Column, amount: Column, flag: Column, at: Column, top: int | None = 100) -> DataFrame:
     """Per key: lines, smallest, exact median and largest value, the sorted distinct names, the sum of amounts, how many lines have the flag 1, 0 and none, and the latest date.
 

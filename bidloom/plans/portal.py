@@ -13,7 +13,7 @@ from bidloom.operators import discovery, marts, runs, search, upsert, versions
 from bidloom.operators.snapshots import standing_rows
 from bidloom.schemas import conform
 from bidloom.session import table
-from bidloom.sources import lines, portal_html, portal_json, sinks, tabular
+from bidloom.sources import lines, portal_html, portal_json, sinks, tables, tabular
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -241,6 +241,32 @@ def relative_paths(spark: SparkSession, d: str) -> DataFrame:
     return versions.relative_paths(table(spark, d, "attachments").select("id", "local_path").dropDuplicates(["id"]), "archive")
 
 
+@query(f"""SELECT id, CASE WHEN NULLIF(local_path, '') IS NOT NULL THEN 'stored' WHEN NULLIF(url, '') IS NOT NULL THEN 'redirect' ELSE 'missing' END AS action,
+  COALESCE(NULLIF(local_path, ''), NULLIF(url, '')) AS target FROM {_FILES}""")
+def document_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return tables.document_lookup(table(spark, d, "attachments").select("id", "local_path", "url").dropDuplicates(["id"]))
+
+
+@query("""SELECT COALESCE(t.source, 'nupco') AS source, COUNT(*) AS tenders, COALESCE(SUM(i.n), 0)::BIGINT AS items, COALESCE(SUM(f.n), 0)::BIGINT AS files FROM tenders t
+  LEFT JOIN (SELECT post_id, COUNT(DISTINCT id) AS n FROM tender_items GROUP BY 1) i USING (post_id) LEFT JOIN (SELECT post_id, COUNT(DISTINCT id) AS n FROM attachments GROUP BY 1) f USING (post_id) GROUP BY 1""")
+def source_totals(spark: SparkSession, d: str) -> DataFrame:
+    return marts.source_totals(*_some(spark, d, "tenders", "tender_items", "attachments"))
+
+
+@query("SELECT post_id, COUNT(*) AS changes FROM tender_history WHERE field = 'status_label' AND run_id >= 50 GROUP BY post_id")
+def bound_sql(spark: SparkSession, d: str) -> DataFrame:
+    table(spark, d, "tender_history").createOrReplaceTempView("history_rows")
+    return tables.run_sql(spark, "SELECT post_id, COUNT(*) AS changes FROM history_rows WHERE field = :field AND run_id >= :run GROUP BY post_id", field="status_label", run=50)
+
+
+@query("""SELECT post_id, 'https://p.example/d?tendNo=' || replace(replace(replace(COALESCE(tender_id, ''), '/', '%2F'), ' ', '+'), chr(9), '%09') || '&method=' || COALESCE(method, '') AS link,
+  COALESCE(NULLIF(title_en, ''), NULLIF(title_ar, '')) AS title FROM tenders WHERE regexp_matches(COALESCE(tender_id, ''), '^[A-Za-z0-9/. _-]*$') AND regexp_matches(COALESCE(method, ''), '^[A-Za-z0-9]*$')""")
+def detail_links(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col
+    plain = F.coalesce(c("tender_id"), F.lit("")).rlike("^[A-Za-z0-9/. _-]*$") & F.coalesce(c("method"), F.lit("")).rlike("^[A-Za-z0-9]*$")
+    return table(spark, d, "tenders").where(plain).select("post_id", X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method")).alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
+
+
 # --- upsert, delist ---
 
 _STAND = """(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY snapshot_no, post_id ORDER BY CAST(last_seen_at AS TIMESTAMPTZ) DESC NULLS LAST, content_hash DESC NULLS LAST) AS k

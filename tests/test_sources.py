@@ -7,7 +7,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from bidloom import schemas
-from bidloom.sources import lines, portal_html, portal_json, sinks, tabular
+from bidloom.sources import lines, portal_html, portal_json, sinks, tables, tabular
 
 
 def pages(spark, *html):
@@ -171,3 +171,22 @@ def test_conform_and_sinks(spark, tmp_path):
     made = sinks.seed(spark, str(tmp_path / "snap"), str(tmp_path / "db"))
     got = spark.read.parquet(made["attachments"]).first()
     assert (got["id"], got["local_path"], got["version"]) == (1, None, 1) and spark.read.parquet(made["awards"]).count() == 0
+
+
+def test_table_sources(spark, tmp_path):
+    spark.createDataFrame([(1, "A")], "post_id long, tender_id string").write.parquet(str(tmp_path / "snap/tenders.parquet"))
+    assert tables.snapshot(spark, str(tmp_path / "snap"), "tenders").first()["country"] == "SA"
+    for n in (1, 2):
+        sinks.swap_state(spark.createDataFrame([(n,)], "v int"), str(tmp_path / "t"), n)
+    assert [r["v"] for r in tables.latest_state(spark, str(tmp_path / "t")).collect()] == [2]
+    for at, status in (("a", "running"), ("b", "ok")):
+        tables.record_run(spark, str(tmp_path / "runs"), run_id=1, status=status, started_at="2026-01-01T00:00:00Z", event_at=at)
+    from bidloom.operators.runs import run_states
+
+    events = spark.read.parquet(str(tmp_path / "runs"))
+    assert [(r["run_id"], r["status"]) for r in run_states(events, "2026-01-01T01:00:00Z").collect()] == [(1, "ok")]
+    hostile = "x' OR '1'='1"
+    assert tables.run_sql(spark, "SELECT 1 AS one WHERE :v = 'x'", v=hostile).count() == 0
+    files = spark.createDataFrame([(1, "p", "u"), (2, None, "u"), (3, "", "")], "id long, local_path string, url string")
+    assert {tuple(r) for r in tables.document_lookup(files).collect()} == {(1, "stored", "p"), (2, "redirect", "u"), (3, "missing", None)}
+    assert tables.without_paths(files).where("local_path is not null").count() == 0
