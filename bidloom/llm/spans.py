@@ -23,7 +23,7 @@ BLOCK = 1_000_000
 SHARD = 4_000
 
 #: Occurrences from which an anchor's places are compared by counting instead of in one task.
-HOT = 20_000
+HOT = 5_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
