@@ -101,6 +101,7 @@ def portal_key(number: Column, sequence: Column) -> Column:
     return F.lit(SECOND_PORTAL) + number.cast("bigint") * 100 + F.coalesce(none_if_empty(sequence).cast("bigint"), F.lit(0))
 
 
+# Fixed value: the shape of a tender id.
 _TENDER_ID = r"^\s*([A-Z]{2,4})([0-9]+)[-/]([0-9]{2,4})"
 
 

@@ -98,7 +98,7 @@ def common_amounts(items: DataFrame, key: str = "id", text: str = "qty_raw", uni
 def converted_items(items: DataFrame, second_portal_from: int = 10**12) -> DataFrame:
     """Rows (item_id, base_unit, base_qty) of items whose amount in the common unit differs from qty, or whose qty is null.
 
-    Tenders of the second portal (joneps) have keys from 10^12 on, those of the first never do; only there a dot may group thousands.
+    Tenders of the second portal have keys from 10^12 on, those of the first never do; only there a dot may group thousands.
     Redelivered rows count once: rows with equal results of one id collapse on the map side.
     """
     rows = items.select("id", "uom", "qty_raw", "qty", "post_id").where(F.col("qty_raw").isNotNull() & F.col("id").isNotNull())

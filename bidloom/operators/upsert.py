@@ -89,7 +89,7 @@ def history_rows(result: DataFrame, key: str = "post_id") -> DataFrame:
 def delist_unseen(stored: DataFrame, seen: DataFrame, source: str, at: str, run_id: int, complete: bool, key: str = "post_id") -> tuple[DataFrame, DataFrame]:
     """(table, log): listed rows of one source that a complete crawl didn't see are unlisted, never deleted; other sources stay.
 
-    A null source counts as the first portal, `nupco`. An incomplete crawl changes nothing.
+    A null source counts as the first portal. An incomplete crawl changes nothing.
     """
     log_columns = f"{key} bigint, tender_id string, field string, old_value string, new_value string, change_kind string, changed_at string, run_id int"
     if not complete:

@@ -5,7 +5,6 @@ Input are words (file_id, page, x0, x1, top, text), as a PDF reader gives them,
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ UNIT_WORDS = (
     "pouch", "strip", "sachet", "cyl", "pair", "-",
 )
 
+# The shapes of a row, of its mark and of its closing amount.
 _ROW = r"^\s*(?:([0-9]{1,5})[.)]?\s+)?([0-9]{10,14})\s+(.+)$"
 _WORD = r"[,.]*(?:" + "|".join(sorted(UNIT_WORDS, key=len, reverse=True)) + r")[,.]*"
 _UNITS = r"(?i)(?:(?:^|\s+)" + _WORD + r")+$"
@@ -31,25 +31,26 @@ _AMOUNT = r"^(.*?)[\s|]+([0-9,]+(?:\.[0-9]+)?)\s*$"
 def visual_lines(words: DataFrame, tolerance: float = 3.0) -> DataFrame:
     """(file_id, page, line_no, text, words): words of one page whose tops lie within `tolerance` of the line's first word, left to right.
 
-    Whether a word belongs to a line depends on that line's first word, so a page is one unit of work; pages are bounded by what a sheet holds.
+    A page's words are folded, from top to bottom and left to right, into an array of lines: each word either joins the last line or
+    opens one. Whether it joins depends on that line's first word, so a page is one fold; pages are bounded by what a sheet holds.
+    Words without text or place are left out.
     """
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        lines: list[list] = []
-        for w in sorted(pdf.itertuples(), key=lambda w: (round(w.top, 1), w.x0)):
-            if lines and abs(w.top - lines[-1][0].top) <= tolerance:
-                lines[-1].append(w)
-            else:
-                lines.append([w])
-        out = []
-        for n, line in enumerate(lines):
-            line.sort(key=lambda w: w.x0)
-            out.append((pdf["file_id"].iloc[0], pdf["page"].iloc[0], n, " ".join(w.text for w in line).strip(), [{"x0": w.x0, "x1": w.x1, "text": w.text} for w in line]))
-        return pd.DataFrame(out, columns=["file_id", "page", "line_no", "text", "words"])
-
-    key_type = dict(words.dtypes)["file_id"]
     whole = words.where(F.col("text").isNotNull() & F.col("top").isNotNull() & F.col("x0").isNotNull())
-    return whole.groupBy("file_id", "page").applyInPandas(cluster, f"file_id {key_type}, page int, line_no int, text string, words array<struct<x0 double, x1 double, text string>>")
+    placed = F.struct(F.round("top", 1).alias("at"), F.col("x0").cast("double").alias("x0"), F.col("x1").cast("double").alias("x1"), F.col("top").cast("double").alias("top"), "text")
+    page = whole.groupBy("file_id", "page").agg(F.array_sort(F.collect_list(placed)).alias("w"))
+    word = "struct<x0:double,x1:double,text:string>"
+
+    def take(lines: Column, w: Column) -> Column:
+        own = F.array(F.struct(w["x0"].alias("x0"), w["x1"].alias("x1"), w["text"].alias("text")))
+        last = F.get(lines, F.size(lines) - 1)
+        joined = F.array(F.struct(last["top"].alias("top"), F.concat(last["words"], own).alias("words")))
+        opened = F.array(F.struct(w["top"].alias("top"), own.alias("words")))
+        near = (F.size(lines) > 0) & (F.abs(w["top"] - last["top"]) <= tolerance)
+        return F.when(near, F.concat(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), joined)).otherwise(F.concat(lines, opened))
+
+    folded = page.select("file_id", "page", F.posexplode(F.aggregate("w", F.array().cast(f"array<struct<top:double,words:array<{word}>>>"), take)).alias("line_no", "l"))
+    sorted_words = F.array_sort(F.col("l.words"))
+    return folded.select("file_id", "page", "line_no", F.trim(F.array_join(F.transform(sorted_words, lambda w: w["text"]), " ")).alias("text"), sorted_words.alias("words"))
 
 
 def header_columns(words: Column, gap: float = 9.0) -> Column:

@@ -71,18 +71,28 @@ def file_kind(content: Column, name: Column) -> Column:
     return F.when(head == "25504446", "pdf").when(head == "504B0304", "xlsx").when(head == "D0CF11E0", "xls").otherwise(by_name)
 
 
-def _text_rows(content: bytes) -> Iterator[tuple[str, int, list]]:
-    for encoding in ENCODINGS:
+def _decoded(content: bytes) -> str:
+    """Text in the first encoding that takes all bytes; the last one takes any."""
+
+    def tried(encoding: str) -> str | None:
         try:
-            text = content.decode(encoding)
-            break
+            return content.decode(encoding)
         except UnicodeDecodeError:
-            continue
-    try:
-        dialect = csv.Sniffer().sniff(text[:4000], delimiters=",;\t|")
-    except csv.Error:
-        dialect = csv.excel
-    for n, row in enumerate(csv.reader(io.StringIO(text), dialect)):
+            return None
+
+    return next(t for t in map(tried, ENCODINGS) if t is not None)
+
+
+def _delimiter(text: str) -> str:
+    """The sign among , ; tab | that parts the first lines into the most cells and does so most evenly; a comma if none does."""
+    first = [line for line in text[:8000].splitlines()[:20] if line.strip()]
+    counts = {sign: sorted(line.count(sign) for line in first) for sign in ",;\t|"}
+    return max(counts, key=lambda sign: (counts[sign][len(first) // 2], sum(counts[sign])) if first else (0, 0))
+
+
+def _text_rows(content: bytes) -> Iterator[tuple[str, int, list]]:
+    text = _decoded(content)
+    for n, row in enumerate(csv.reader(io.StringIO(text), delimiter=_delimiter(text))):
         yield "", n, row
 
 
