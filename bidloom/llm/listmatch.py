@@ -173,7 +173,8 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
     The list is a fixed table; it is read whole, checked against most_products, and its index goes to the tasks, so no item is shuffled
     until the results, and copies of a text cost a lookup. An entry must have the substance, the strength and the form. The
     substance is read from the description; where a generic name is given as well and stands for a list name, that
-    settles a description that doesn't, and where it stands for none, a merely shortened description is not trusted. Null and
+    settles a description that doesn't; where it stands for another or none, a merely shortened description is not trusted, and a
+    typed one only if it isn't closer to the generic name. Null and
     empty texts give UNMATCHED. Redelivered rows count once; should rows of one id differ, a match goes before UNMATCHED,
     then the smaller code. Of list entries with equal substance, strength and form the smallest code stands.
     """
@@ -201,8 +202,13 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
         by_generic = index.name_of(stated) if stated else None
         if by_text is None:
             name = by_generic if not letters or (by_generic and by_generic.startswith(letters)) else None
-        elif stated and by_generic != by_text and edits(letters, by_text, index.most) > index.most:
-            name = None
+        elif stated and by_generic != by_text:
+            # Two names are in question: a shortened text yields, a typed one stands unless the generic name is closer to it.
+            off = edits(letters, by_text, index.most)
+            if off > index.most:
+                name = None
+            else:
+                name = by_generic if edits(letters, stated, index.most) < off else by_text
         else:
             name = by_text
         return entries.get((name, strength, form), UNMATCHED) if name else UNMATCHED

@@ -20,7 +20,7 @@ LIST = [("42001", "ZELWEXDASKEX", "12 FR", "TUBING"), ("51001", "CRICLEMNEPEX",
         ("zelwexdaskex 12 fr tubing", None, "42001"), ("TUBNG - Zelwexdaksex - SIZE 12 CH (LATEX FREE", None, "42001"), ("ZELWEX. French 12 tubings", None, "42001"), ("CRICLEM NEPEX, 0.25 G, CAPS", None, "51001"),
         ("criclem-nepex 250,000 MCG cap new tender", None, "51001"), ("Criclemnpx 1 GM. capsules", None, "51002"), ("CRICLEMNEPEX 25 ملغ CAP", None, "UNMATCHED"), ("criclemnepex 250 mg tablet", None, "UNMATCHED"),
         ("JORCRIJOREX 120 TEST KIT, TEST", None, "41001"), ("testkit jorcrijorex /120 tests", None, "41001"), ("KIT, TEST jorcri- 120T sterile", None, "41001"), ("capsule 250 mg", "Criclemnepex", "51001"),
-        ("CRICLE 250 MG CAP", "CRICLEDASKUM", "UNMATCHED"), ("CRICLE 250 MG CAP", "criclemnepx", "51001"), ("WEXOLPRATUN 250 MG CAP", None, "UNMATCHED"), ("", None, "UNMATCHED"), (None, None, "UNMATCHED"), ("x " * 50_000, None, "UNMATCHED"),
+        ("CRICLE 250 MG CAP", "CRICLEDASKUM", "UNMATCHED"), ("CRICLE 250 MG CAP", "criclemnepx", "51001"), ("CRICLEMNEXPX 250 MG CAP", "CRICLEMNOXPX", "UNMATCHED"), ("CRICLEMNEPX 250 MG CAP", "CRICLEMQUAZOX", "51001"), ("WEXOLPRATUN 250 MG CAP", None, "UNMATCHED"), ("", None, "UNMATCHED"), (None, None, "UNMATCHED"), ("x " * 50_000, None, "UNMATCHED"),
         ("CRICLEMNEPEX CAPSULE", None, "UNMATCHED"), ("ZEL 12 FR TUBING", None, "UNMATCHED"), ("ZELWEXDASKEX ١٢ FR TUBING", None, "42001"),
     ],
 )
