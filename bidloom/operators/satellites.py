@@ -24,13 +24,10 @@ def utc_text(micros: Column) -> Column:
     return F.concat(F.date_from_unix_date(day).cast("string"), F.lit("T"), clock, F.lit("Z"))
 
 
-def _writes(history: DataFrame) -> DataFrame:
-    """Distinct writes with their instant in microseconds; rows without tender, field or readable instant are left out."""
-    return (
-        history.select("id", "post_id", "field", "old_value", "new_value", F.unix_micros(F.try_to_timestamp("changed_at")).alias("at"))
-        .where(F.col("post_id").isNotNull() & F.col("field").isNotNull() & F.col("at").isNotNull())
-        .select("id", "post_id", "field", attribute_value(F.col("old_value")).alias("old_val"), attribute_value(F.col("new_value")).alias("new_val"), "at")
-        .dropDuplicates()
+def _deliveries(history: DataFrame) -> DataFrame:
+    """All writes as delivered, with their instant in microseconds; rows without tender, field or readable instant are left out."""
+    return history.select("id", "post_id", "field", "old_value", "new_value", F.unix_micros(F.try_to_timestamp("changed_at")).alias("at")).where(
+        F.col("post_id").isNotNull() & F.col("field").isNotNull() & F.col("at").isNotNull(),
     )
 
 
@@ -51,19 +48,20 @@ def satellite_rows(history: DataFrame, least: int = 10_000) -> DataFrame:
 
     The first row of an attribute is its old value before the first write, valid from the tender's `_record` write (null where there is
     none); then one row for every write whose new value has another hash than the standing one. Writes apply in the order of their
-    instants, then ids. Redelivered rows count once. An attribute that holds a large share of all rows is cut into slices of
+    instants, then ids, null ids first. Redelivered rows count once. An attribute that holds a large share of all rows is cut into slices of
     time; each slice gets the last write before it as a carried row, so no window needs the whole attribute.
     """
-    writes = _writes(history)
-    changes = with_slices(writes.where(F.col("field") != RECORD), ["post_id", "field"], "at", "id", least=least)
     key = ["post_id", "field"]
-    # The last value of every slice of a hot attribute goes to its next slice. Ordinary attributes have one slice and carry nothing.
-    ends = changes.groupBy(*key, "slice_no").agg(F.max_by("new_val", F.struct("at", "id")).alias("new_val"))
-    to = F.lead("slice_no").over(Window.partitionBy(*key).orderBy("slice_no"))
-    carried = ends.withColumn("slice_no", to).where(F.col("slice_no").isNotNull()).select(
-        *key, "slice_no", F.lit(None).cast("long").alias("at"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("old_val"), "new_val", F.lit(True).alias("carried"),
-    )
-    rows = changes.select(*key, "slice_no", "at", "id", "old_val", "new_val", F.lit(False).alias("carried")).unionByName(carried)
+    delivered = _deliveries(history)
+    raw = delivered.where(F.col("field") != RECORD)
+    writes = raw.select("id", *key, attribute_value(F.col("old_value")).alias("old_val"), attribute_value(F.col("new_value")).alias("new_val"), "at").dropDuplicates()
+    changes, sliced = with_slices(writes, key, "at", "id", raw, least=least)
+    rows = changes.select(*key, "slice_no", "at", "id", "old_val", "new_val", F.lit(False).alias("carried"))
+    if sliced:
+        # The last value of every slice goes to its key's next slice, as a row that only lends its value.
+        ends = changes.groupBy(*key, "slice_no").agg(F.max_by("new_val", F.struct("at", "id")).alias("new_val"))
+        to = F.lead("slice_no").over(Window.partitionBy(*key).orderBy("slice_no"))
+        rows = rows.unionByName(ends.withColumn("slice_no", to).where(F.col("slice_no").isNotNull()).withColumn("carried", F.lit(True)), allowMissingColumns=True)
     order = Window.partitionBy(*key, "slice_no").orderBy(F.col("carried").desc(), "at", "id")
     standing = F.lag("new_val").over(order)
     steps = rows.select(*key, "slice_no", "at", "id", "old_val", "new_val", "carried", standing.alias("prev"), F.row_number().over(order).alias("n"))
@@ -72,11 +70,11 @@ def satellite_rows(history: DataFrame, least: int = 10_000) -> DataFrame:
     steps = steps.withColumn("hash_diff", F.xxhash64("new_val")).withColumn("stand_hash", F.xxhash64(before))
     new = ~F.col("carried") & ((F.col("hash_diff") != F.col("stand_hash")) | (F.col("new_val") != before))
     start = F.struct(F.lit(None).cast("long").alias("at"), F.lit(-1).cast("long").alias("seq"), F.col("old_val").alias("val"))
-    step = F.struct(F.col("at").alias("at"), F.col("id").alias("seq"), F.col("new_val").alias("val"))
+    step = F.struct(F.col("at").alias("at"), F.coalesce("id", F.lit(-2)).alias("seq"), F.col("new_val").alias("val"))
     versions = F.filter(F.array(F.when(first, start), F.when(new, step)), lambda v: v.isNotNull())
     inserted = steps.select(*key, "slice_no", F.explode(versions).alias("v")).select(*key, "slice_no", "v.at", "v.seq", "v.val")
     # An attribute's start is the `_record` write of its tender; only starting rows need it.
-    sighted = writes.where(F.col("field") == RECORD).groupBy("post_id").agg(F.min("at").alias("record_at"))
+    sighted = delivered.where(F.col("field") == RECORD).groupBy("post_id").agg(F.min("at").alias("record_at"))
     starts = inserted.where(F.col("seq") == -1).join(sighted, "post_id", "left").select(*key, "slice_no", F.col("record_at").alias("at"), "seq", "val")
     every = inserted.where(F.col("seq") != -1).unionByName(starts)
     rates = change_rates(history).select("field", "satellite")
@@ -96,8 +94,10 @@ def validity_view(satellites: DataFrame) -> DataFrame:
     """
     key = ["post_id", "field"]
     order = Window.partitionBy(*key, "slice_no").orderBy(F.col("seq") != -1, "at", "seq")
-    heads = satellites.groupBy(*key, "slice_no").agg(F.min(F.struct(F.col("seq") != -1, "at", "seq")).alias("head"))
-    following = heads.select(*key, "slice_no", F.lead("head").over(Window.partitionBy(*key).orderBy("slice_no"))["at"].alias("slice_end")).where(F.col("slice_end").isNotNull())
+    # Only sliced attributes have numbers above 0; the head of each such slice ends the slice before it.
+    heads = satellites.where(F.col("slice_no") > 0).groupBy(*key, "slice_no").agg(F.min(F.struct(F.col("seq") != -1, "at", "seq")).alias("head"))
+    before = F.coalesce(F.lag("slice_no").over(Window.partitionBy(*key).orderBy("slice_no")), F.lit(0))
+    following = heads.select(*key, before.alias("slice_no"), F.col("head.at").alias("slice_end"))
     ended = satellites.select(*key, "slice_no", "at", "val", F.lead("at").over(order).alias("next_at"), F.lead(F.lit(1)).over(order).alias("has_next"))
     closed = ended.join(following, [*key, "slice_no"], "left")
     end = F.when(F.col("has_next").isNotNull(), F.col("next_at")).otherwise(F.col("slice_end"))

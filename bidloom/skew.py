@@ -22,14 +22,19 @@ def hot_keys(rows: DataFrame, keys: list[str], *more: Column, parts: int = PARTS
     return some.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"), *more).where(F.col("key_rows") > max(least, total // parts))
 
 
-def with_slices(rows: DataFrame, keys: list[str], order: str, tie: str, slices: int = 256, least: int = 10_000) -> DataFrame:
-    """Adds slice_no: 0 for ordinary keys; for hot keys a number that grows with (order, tie) so that a key's rows spread over `slices` groups.
+def with_slices(rows: DataFrame, keys: list[str], order: str, tie: str, raw: DataFrame | None = None, slices: int = 256, least: int = 10_000) -> tuple[DataFrame, bool]:
+    """(rows with slice_no, whether any key is sliced): 0 for ordinary keys; for hot keys a number that grows with (order, tie) so that a key's rows spread over
+    `slices` groups.
 
-    order and tie are numeric columns. A hot key whose rows share one `order` is sliced by `tie`.
+    order and tie are numeric columns. A hot key whose rows share one `order` is sliced by `tie`. Hot keys are looked for in raw, which has the same columns and
+    may hold rows more than once, so that finding them repeats no work that rows cost; without any, rows just get the number 0.
     """
+    raw = rows if raw is None else raw
     hot = hot_keys(
-        rows, keys, F.min(order).alias("lo_order"), F.max(order).alias("hi_order"), F.min(tie).alias("lo_tie"), F.max(tie).alias("hi_tie"), least=least,
+        raw, keys, F.min(order).alias("lo_order"), F.max(order).alias("hi_order"), F.min(tie).alias("lo_tie"), F.max(tie).alias("hi_tie"), least=least,
     )
+    if hot.isEmpty():
+        return rows.withColumn("slice_no", F.lit(0)), False
 
     def part(x: Column, lo: Column, hi: Column) -> Column:
         return F.floor((x - lo).cast("double") / (hi - lo + 1).cast("double") * slices)
@@ -38,7 +43,7 @@ def with_slices(rows: DataFrame, keys: list[str], order: str, tie: str, slices:
     number = F.when(F.col("key_rows").isNull(), F.lit(0)).when(
         F.col("hi_order") > F.col("lo_order"), part(F.col(order), F.col("lo_order"), F.col("hi_order")),
     ).otherwise(part(F.col(tie), F.col("lo_tie"), F.col("hi_tie")))
-    return joined.withColumn("slice_no", F.coalesce(number, F.lit(0)).cast("int")).drop("key_rows", "lo_order", "hi_order", "lo_tie", "hi_tie")
+    return joined.withColumn("slice_no", F.coalesce(number, F.lit(0)).cast("int")).drop("key_rows", "lo_order", "hi_order", "lo_tie", "hi_tie"), True
 
 
 def skew_safe_lookup(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, size: str, rows_per_part: int = 100_000) -> DataFrame:

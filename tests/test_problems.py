@@ -77,6 +77,7 @@ def test_version_edges(spark):
         (5, 1, "qty", " 12.0 ", "12", "2026-01-03T03:00:00+03:00"),  # writes that change nothing
         (6, 1, "qty", "99", "13.50", "2026-01-03T00:00:00Z"), (4, 1, "qty", "x", None, "2026-01-02T00:00:00Z"),
         (7, 2, "a", None, "b", "2026-01-02T00:00:00Z"),  # no _record
+        (None, 4, "a", "u", "v", "2026-01-02T00:00:00Z"),
         (8, None, "a", None, "b", "2026-01-02T00:00:00Z"), (9, 3, None, None, "b", "2026-01-02T00:00:00Z"), (10, 3, "a", "c", "b", "never"),
     ]
     df = spark.createDataFrame([(*r, 5, "clash") for r in rows], HIST)
