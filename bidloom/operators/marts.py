@@ -68,15 +68,17 @@ def modal_category(tenders: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def summary(tenders: DataFrame, items: DataFrame, attachments: DataFrame, history: DataFrame) -> DataFrame:
-    """One row of totals. Items of retired files count as well. Each table is aggregated alone; the one-row results are joined on a constant."""
-    one = F.lit(1).alias("k")
-    t = tenders.agg(F.count(F.lit(1)).alias("tenders"), F.count_if(F.col("is_listed") == 1).alias("listed"), F.count_if(is_open()).alias("open_tenders")).select("*", one)
-    i = items.agg(F.count(F.lit(1)).alias("items_all_versions")).select("*", one)
+    """One row of totals. Items of retired files count as well. Each table gives its totals as (name, n) rows; these few rows become the columns of one."""
     codes = items.select(F.explode(F.array(F.struct(F.lit("m").alias("kind"), F.col("nupco_code").alias("code")), F.struct(F.lit("r").alias("kind"), F.col("rdl_code").alias("code")))).alias("c"))
-    c = codes.select("c.*").where(F.col("code").isNotNull()).distinct().agg(F.count(F.lit(1)).alias("codes")).select("*", one)
-    a = attachments.agg(F.count_if(F.col("is_current") == 1).alias("files"), F.count_if(F.col("parse_status") == "failed").alias("parse_failed")).select("*", one)
-    h = history.agg(F.count(F.lit(1)).alias("changes")).select("*", one)
-    return reduce(lambda x, y: x.join(y, "k"), [t, i, c, a, h]).drop("k")
+    every = F.count(F.lit(1))
+    parts = [
+        (tenders, {"tenders": every, "listed": F.count_if(F.col("is_listed") == 1), "open_tenders": F.count_if(is_open())}), (items, {"items_all_versions": every}),
+        (codes.select("c.*").where(F.col("code").isNotNull()).distinct(), {"codes": every}),
+        (attachments, {"files": F.count_if(F.col("is_current") == 1), "parse_failed": F.count_if(F.col("parse_status") == "failed")}), (history, {"changes": every}),
+    ]
+    rows = [df.agg(F.array(*[F.struct(F.lit(name).alias("name"), n.alias("n")) for name, n in own.items()]).alias("a")).select(F.explode("a").alias("e")).select("e.*") for df, own in parts]
+    names = [name for _, own in parts for name in own]
+    return reduce(lambda x, y: x.unionByName(y), rows).agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in names])
 
 
 def by_status(tenders: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def search(documents: DataFrame, key: str, text: Column, query: str) -> DataFram
     """(key, score): documents that hold, for every token of the query, a word that begins with it, with their BM25 score.
 
     A token's frequency in a document is that of all words it begins; its document frequency counts documents with any such word.
-    Only matching words leave the scan. The statistics are one row, joined on a constant. An empty query matches everything with
+    Only matching words leave the scan. The statistics are one row, a scalar subquery. An empty query matches everything with
     score 0; no text of a query can fail or change anything, since tokens are literals.
     """
     tokens = list(dict.fromkeys(query_tokens(query)))
@@ -51,16 +51,16 @@ def search(documents: DataFrame, key: str, text: Column, query: str) -> DataFram
     begun = lambda t: F.size(F.filter("w", lambda x: x.startswith(t)))
     tf = {i: begun(t) for i, t in enumerate(tokens)}
     hits = sized.select(key, F.size("w").alias("dl"), *[n.alias(f"tf{i}") for i, n in tf.items()])
-    stats = hits.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in tf]).select("*", F.lit(1).alias("one"))
+    figures = F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in tf])
     found = hits
     for i in tf:
         found = found.where(F.col(f"tf{i}") > 0)
-    joined = found.select("*", F.lit(1).alias("one")).join(F.broadcast(stats), "one")
-    norm = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
+    joined = found.withColumn("s", hits.agg(figures.alias("s")).scalar())
+    norm = K1 * (1 - B + B * F.col("dl") / F.col("s.avgdl"))
     score = F.lit(0.0)
     for i in tf:
-        df, n = F.col(f"df{i}"), F.col(f"tf{i}")
-        score = score + F.log(1 + (F.col("n") - df + 0.5) / (df + 0.5)) * n * (K1 + 1) / (n + norm)
+        df, n = F.col(f"s.df{i}"), F.col(f"tf{i}")
+        score = score + F.log(1 + (F.col("s.n") - df + 0.5) / (df + 0.5)) * n * (K1 + 1) / (n + norm)
     return joined.select(key, score.alias("score"))
 
 

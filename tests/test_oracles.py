@@ -50,3 +50,16 @@ def test_query_without_oracle_runs(spark, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 100
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_plan_joins_everything_with_everything(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = QUERIES["open_tenders"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(is_terminal,0)" in plan and "title_en" not in plan
+    plan = QUERIES["p6_found"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(qty_raw)" in plan and "raw_row" not in plan
