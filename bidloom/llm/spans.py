@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from bidloom.session import cut
 
-#: Characters of an anchor.
-ANCHOR = 64
+#: Characters of an anchor. Shorter ones recur by chance in formulaic texts, the more the larger the corpus; longer ones are more.
+ANCHOR = 112
 
 #: Characters hashed at once.
 BLOCK = 1_000_000
@@ -70,14 +70,19 @@ def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def anchor_length(least: int) -> int:
+    """Characters of the anchors of spans of `least` characters: at most half of them."""
+    return max(1, min(ANCHOR, least // 2))
+
+
 def anchors(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, place, hash) of the anchors of all texts: in every stretch of `least` characters the gram with the smallest hash.
 
     The choice depends on nothing but the stretch, so equal stretches of two texts have an equal anchor at the same place in them.
     """
     codes, bounds = _codes(texts)
-    g = gram_hashes(codes, ANCHOR)
-    width = least - ANCHOR + 1
+    g = gram_hashes(codes, anchor_length(least))
+    width = least - anchor_length(least) + 1
     if len(g) < width:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
@@ -123,7 +128,7 @@ def stretch_rows(documents: DataFrame, places: DataFrame, least: int) -> DataFra
 
     places has (doc_id, places: array of (anchor, place, hot)).
     """
-    reach = least - ANCHOR
+    reach = least - anchor_length(least)
 
     def carve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -54,6 +54,12 @@ def test_equals_brute_force(spark, seed, hot):
     assert found(spark, docs, hot=hot) == brute(docs, 240)
 
 
+@pytest.mark.parametrize("least", [30, 64, 150])
+def test_other_lengths(spark, least):
+    docs = corpus(11, 30, (29, 30, 64, 150, 151))
+    assert found(spark, docs, least) == brute(docs, least)
+
+
 def test_small_shards(spark, monkeypatch):
     monkeypatch.setattr(spans, "SHARD", 3)
     docs = corpus(7)
@@ -93,5 +99,5 @@ def test_every_stretch_has_its_anchor():
         a, b = ("".join(rnd.choices("abcdefgh", k=rnd.randint(0, 500))) for _ in range(2))
         texts = [a + shared + b, b[:17] + shared + a]
         who, place, h = spans.anchors(texts, 240)
-        inside = [{int(x) for w, p, x in zip(who, place, h) if w == i and t.find(shared) <= p <= t.find(shared) + 240 - spans.ANCHOR} for i, t in enumerate(texts)]
+        inside = [{int(x) for w, p, x in zip(who, place, h) if w == i and t.find(shared) <= p <= t.find(shared) + 240 - spans.anchor_length(240)} for i, t in enumerate(texts)]
         assert inside[0] & inside[1]
