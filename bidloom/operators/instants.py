@@ -116,7 +116,11 @@ def utc_instant(text: Column, source: Column) -> Column:
 
 
 def field_instants(tenders: DataFrame, fields: tuple[str, ...] = ("opening_date", "submission_deadline", "bid_opening")) -> DataFrame:
-    """Rows (post_id, field, instant_utc) for every field text that denotes an instant."""
+    """Rows (post_id, field, instant_utc) for every field text that denotes an instant.
+
+    Null and unreadable texts give no row, nor does an empty table; a row that comes twice gives its instants twice. Columns of
+    other names change nothing.
+    """
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields]))
     texts = tenders.select("post_id", "source", pairs.alias("f")).select("post_id", "source", "f.field", "f.text").where(F.col("text").isNotNull())
     return texts.select("post_id", "field", utc_instant(F.col("text"), F.col("source")).alias("instant_utc")).where(F.col("instant_utc").isNotNull())

@@ -49,7 +49,8 @@ def satellite_rows(history: DataFrame, least: int = 10_000) -> DataFrame:
     The first row of an attribute is its old value before the first write, valid from the tender's `_record` write (null where there is
     none); then one row for every write whose new value has another hash than the standing one. Writes apply in the order of their
     instants, then ids, null ids first. Redelivered rows count once. An attribute that holds a large share of all rows is cut into slices of
-    time; each slice gets the last write before it as a carried row, so no window needs the whole attribute.
+    time; each slice gets the last write before it as a carried row, so no window needs the whole attribute. Rows without tender, field or
+    readable instant are left out; null values are ''; columns of other names change nothing; an empty table gives none.
     """
     key = ["post_id", "field"]
     delivered = _deliveries(history)

@@ -93,7 +93,9 @@ def label_changes(items: DataFrame, files: DataFrame) -> DataFrame:
     Islands of consecutive files are found per feed and field with lag and lead: an island's start is an addition (but in a feed's
     first file), the file after its end a removal; inside an island the label and the types are compared with the file before.
     Files whose values are all null on one side show no change of type. A feed is cut into slices of 1000 files, each with the file
-    before it, so a feed of any length stays in bounded windows. A file without a parseable row has no labels.
+    before it, so a feed of any length stays in bounded windows. A file without a parseable row has no labels; a null, cut-off or non-object
+    raw_row gives none. Files without feed, number or entry in `files` count for nothing. Repeated rows and columns of other names change
+    nothing; empty tables give an empty result.
     """
     spans = label_lifespans(items, files)
     at = F.floor(F.col("file_no") / SLICE).cast("long")

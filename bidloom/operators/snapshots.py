@@ -32,7 +32,8 @@ def snapshot_changes(snapshots: DataFrame, key: str = "post_id", number: str = "
 
     Each key's rows are ordered by the index of their snapshot in the list of snapshots that exist: lag shows a changed hash or listing
     flag, a gap of the index a removal after its start and an addition at its end. The first snapshot yields nothing. A key has at most
-    one row per snapshot by then, so no window holds more rows than there are snapshots. An empty table gives an empty result.
+    one row per snapshot by then, so no window holds more rows than there are snapshots. Repeated rows and columns of other names change
+    nothing; an empty table gives an empty result.
     """
     rows = standing_rows(snapshots.select(key, number, seen, "content_hash", "is_listed"), key, number, seen).withColumn("hash", hash_key("content_hash"))
     # The list has one row per snapshot; its order is found in one small task.

@@ -99,7 +99,8 @@ def converted_items(items: DataFrame, second_portal_from: int = 10**12) -> DataF
     """Rows (item_id, base_unit, base_qty) of items whose amount in the common unit differs from qty, or whose qty is null.
 
     Tenders of the second portal have keys from 10^12 on, those of the first never do; only there a dot may group thousands.
-    Redelivered rows count once: rows with equal results of one id collapse on the map side.
+    Redelivered rows count once: rows with equal results of one id collapse on the map side. Null units mean each; rows with a null id or
+    qty_raw, with texts that state no number, and empty tables give nothing. Texts of any length are read whole.
     """
     rows = items.select("id", "uom", "qty_raw", "qty", "post_id").where(F.col("qty_raw").isNotNull() & F.col("id").isNotNull())
     done = common_amounts(rows, dot_groups=F.col("post_id") >= second_portal_from).where(F.col("base_amount").isNotNull())
