@@ -145,7 +145,8 @@ def formatted_copies(records: DataFrame, id_column: str, key: Column, least_fit:
     """(kept, copy, copies): one row per record that equals another by its canonical bytes, except the one with the smallest id.
 
     copies is the number of rows of the set, the kept one included. Rows with a null id or key have no copies. Sets of any size keep
-    all their rows: large ones are salted when the rows look up their set.
+    all their rows: large ones are salted when the rows look up their set. A row that comes twice under one id is no copy of itself. Empty and
+    very long texts have keys like others; columns of other names change nothing; an empty table gives none.
     """
     keyed = records.select(F.col(id_column).cast("long").alias("id"), key.alias("key")).where(F.col("id").isNotNull() & F.col("key").isNotNull())
     sets = cut(counted_keys(keyed, least_fit).where(F.col("rows") > 1))

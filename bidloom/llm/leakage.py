@@ -129,7 +129,8 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = 13, budget:
 
     The test items are a stated query set: they are read in blocks of 20,000 and each block's automaton passes over the whole corpus
     once; documents are never shuffled before the hits. Null and empty texts leak nothing, items of fewer than `run`
-    words aren't searched. Copies of a document give one row each; a document listed twice under one id gives one row per item.
+    words aren't searched. Copies of a document give one row each; a document listed twice under one id gives one row per item. Texts are
+    read whole; empty tables give nothing; columns of other names change nothing.
     """
     listed = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     texts = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -175,7 +175,7 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
     substance is read from the description; where a generic name is given as well and stands for a list name, that
     settles a description that doesn't; where it stands for another or none, a merely shortened description is not trusted, and a
     typed one only if it isn't closer to the generic name. Null and
-    empty texts give UNMATCHED. Redelivered rows count once; should rows of one id differ, a match goes before UNMATCHED,
+    empty texts give UNMATCHED, as does an empty list. Texts are read whole. Rows with a null id and empty tables give nothing. Redelivered rows count once; should rows of one id differ, a match goes before UNMATCHED,
     then the smaller code. Of list entries with equal substance, strength and form the smallest code stands.
     """
     listed = products.select("list_code", "generic_name", "strength", "dosage_form").limit(most_products + 1).collect()
