@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bidloom.skew import with_slices
+
 #: Roles of attachments that are files.
 FILE_ROLES = ("Tender Item List", "Terms & Conditions", "Tender Preliminary Result", "Tender Final Result", "Additional Attachments", "Objection to the Results")
 
@@ -16,21 +18,34 @@ def current_versions(files: DataFrame, key: tuple[str, ...] = ("post_id", "role"
     return best.select(*key, *[F.col(f"r.{c}").alias(c) for c in others]).select(*files.columns)
 
 
-def number_versions(seen: DataFrame, key: tuple[str, ...] = ("post_id", "role"), digest: str = "content_sha256", at: str = "seen_at", tie: str = "id") -> DataFrame:
+def number_versions(seen: DataFrame, key: tuple[str, ...] = ("post_id", "role"), digest: str = "content_sha256", at: str = "seen_at", tie: str = "id", least: int = 10_000) -> DataFrame:
     """(key, version, digest, first_seen_at, last_seen_at, first_of_key, is_current) of sightings: a new version begins where the content differs from the sighting before.
 
-    first_of_key is the first sighting of the key, carried to all versions. A null digest is content of its own.
+    Sightings apply in the order of their instants, then `tie`; unreadable instants come first. first_of_key is the first sighting of the key, carried to all versions.
+    A null digest is content of its own. A key that holds a large share of all sightings is cut into slices of time: each begins with the last content of the slice
+    before it and counts on from the versions before it. Rows with a null key are left out.
     """
-    order = Window.partitionBy(*key).orderBy(at, tie)
-    before = F.lag(digest).over(order)
-    new = F.when(F.row_number().over(order) == 1, 1).when(~F.col(digest).eqNullSafe(before), 1).otherwise(0)
-    steps = seen.select(*key, digest, at, tie, new.alias("new"))
-    numbered = steps.withColumn("version", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = numbered.groupBy(*key, "version").agg(F.first(digest).alias(digest), F.min(at).alias("first_seen_at"), F.max(at).alias("last_seen_at"))
-    whole = Window.partitionBy(*key)
-    return spans.select(
-        *key, F.col("version").cast("int").alias("version"), digest, "first_seen_at", "last_seen_at", F.min("first_seen_at").over(whole).alias("first_of_key"),
-        (F.col("version") == F.max("version").over(whole)).cast("int").alias("is_current"),
+    keys = list(key)
+    rows = seen.select(*keys, digest, at, tie, F.coalesce(F.unix_micros(F.try_to_timestamp(at)), F.lit(-(2**62))).alias("order_at")).dropna(subset=keys)
+    rows, sliced = with_slices(rows, keys, "order_at", tie, least=least)
+    rows = rows.withColumn("carried", F.lit(False))
+    part = [*keys, "slice_no"]
+    if sliced:
+        ends = rows.groupBy(*part).agg(F.max_by(digest, F.struct("order_at", tie)).alias(digest))
+        to = F.lead("slice_no").over(Window.partitionBy(*keys).orderBy("slice_no"))
+        rows = rows.unionByName(ends.withColumn("slice_no", to).where(F.col("slice_no").isNotNull()).withColumn("carried", F.lit(True)), allowMissingColumns=True)
+    order = Window.partitionBy(*part).orderBy(F.col("carried").desc(), "order_at", tie)
+    begins = (~F.col("carried") & ((F.row_number().over(order) == 1) | ~F.col(digest).eqNullSafe(F.lag(digest).over(order)))).cast("int")
+    steps = rows.select(*part, digest, at, "order_at", tie, "carried", begins.alias("begins"))
+    numbered = steps.withColumn("version", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(~F.col("carried"))
+    if sliced:
+        counts = steps.groupBy(*part).agg(F.sum("begins").alias("n"))
+        earlier = F.sum("n").over(Window.partitionBy(*keys).orderBy("slice_no").rowsBetween(Window.unboundedPreceding, -1))
+        numbered = numbered.join(counts.select(*part, F.coalesce(earlier, F.lit(0)).alias("earlier")), part).withColumn("version", F.col("version") + F.col("earlier"))
+    spans = numbered.groupBy(*keys, "version").agg(F.first(digest).alias(digest), F.min(at).alias("first_seen_at"), F.max(at).alias("last_seen_at"))
+    totals = numbered.groupBy(*keys).agg(F.min(at).alias("first_of_key"), F.max("version").alias("newest"))
+    return spans.join(totals, keys).select(
+        *keys, F.col("version").cast("int").alias("version"), digest, "first_seen_at", "last_seen_at", "first_of_key", (F.col("version") == F.col("newest")).cast("int").alias("is_current"),
     )
 
 

@@ -54,6 +54,13 @@ def test_versions(spark):
     assert versions.current_versions(files).first()["id"] == 3
 
 
+def test_sliced_versions_equal_plain(spark):
+    rows = [(i, 7, "r", None if i % 50 == 0 else str(i // 4 % 6), f"2026-01-{1 + i % 9:02d}T00:{i % 60:02d}:00Z") for i in range(500)] + [(900 + i, i, "r", "a", "2026-01-01T00:00:00Z") for i in range(20)]
+    seen = spark.createDataFrame(rows, "id long, post_id long, role string, content_sha256 string, seen_at string")
+    got = {least: {tuple(r) for r in versions.number_versions(seen, least=least).collect()} for least in (10_000, 30)}
+    assert got[30] == got[10_000] and len(got[30]) > 100
+
+
 def test_document_states(spark):
     old = spark.createDataFrame([(1, "r", "a", 2, 1, "t0", "t1"), (2, "r", "a", 1, 1, "t0", "t1"), (3, "r", "a", 1, 1, "t0", "t1")], "post_id long, role string, content_sha256 string, version int, is_current int, first_seen_at string, last_seen_at string")
     new = spark.createDataFrame([(1, "r", "b"), (2, "r", "a"), (4, "r", "c")], "post_id long, role string, content_sha256 string")
