@@ -561,6 +561,40 @@ def stitched_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.line_items(written.withColumn("page", F.lit(1)), words=None).select("file_id", "nupco_code", "sn")
 
 
+@query(f"""SELECT attachment_id AS file_id, COUNT(*) AS items, COUNT(nupco_code) FILTER (WHERE nupco_code <> '') AS coded, MIN(trim(description)) AS first_text FROM (SELECT DISTINCT attachment_id, id, description,
+  regexp_replace(nupco_code, '[^0-9]', '', 'g') AS nupco_code FROM tender_items WHERE attachment_id IS NOT NULL AND id IS NOT NULL AND length(trim(description)) >= 3 AND NOT regexp_matches(description, '["\\n\\r]|  ')
+  AND COALESCE(NOT regexp_matches(nupco_code, '[^0-9]'), TRUE)) GROUP BY 1""")
+def text_files(spark: SparkSession, d: str) -> DataFrame:
+    """The items of each file written as delimited text, then read: header found, columns named, rows parsed."""
+    c = F.col
+    items = table(spark, d, "tender_items").select("attachment_id", "id", "nupco_code", "description").dropDuplicates()
+    plain = items.where(
+        c("attachment_id").isNotNull() & c("id").isNotNull() & (F.length(F.trim("description")) >= 3) & ~c("description").rlike('["\\n\\r]|  ') & F.coalesce(~c("nupco_code").rlike("[^0-9]"), F.lit(True)),
+    )
+    line = F.concat_ws(";", c("id").cast("string"), F.coalesce("nupco_code", F.lit("")), F.concat(F.lit('"'), c("description"), F.lit('"')), F.lit("EA"), F.lit("1"))
+    text = F.concat(F.lit("list of items\nSN;Material Code;Item Description;UOM;Required Quantity\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n"))
+    files = plain.groupBy(c("attachment_id").alias("file_id")).agg(F.encode(text, "UTF-8").alias("content")).withColumn("name", F.lit("list.csv"))
+    read = tabular.sheet_items(sinks.dead_letters(tabular.file_rows(files), AS_OF, 1)[0])
+    return read.groupBy("file_id").agg(F.count(F.lit(1)).alias("items"), F.count("nupco_code").alias("coded"), F.min("description").alias("first_text"))
+
+
+@query("""SELECT l_orderkey AS page_id, COUNT(*) AS lines, ROUND(SUM(l_quantity), 2) AS quantity, ROUND(SUM(l_extendedprice), 2) AS total, COUNT(*) FILTER (WHERE l_quantity <> 0 AND l_extendedprice <> 0) AS with_cost,
+  CASE WHEN BOOL_OR(l_tax > 0) THEN 1 ELSE 0 END AS taxed FROM lineitem GROUP BY 1""")
+def award_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written as award decision pages, then read."""
+    names = portal_html.AWARD_HEADER | portal_html.AWARD_SUPPLIER
+    pair = lambda f, v: f"<th>{names[f]}</th><td>{v}</td>"
+    head = "<table><tr>" + pair("award_no", "A1") + pair("award_status", "Final") + "</tr></table><table><tr>" + pair("supplier_no", "7") + pair("beneficiary", "[27] Clinic") + "</tr></table>"
+    cells = [F.col("l_linenumber").cast("string"), F.lit("51"), F.lit("08-03"), F.lit("30 tab"), F.lit(""), F.lit("0"), F.lit("0"), F.format_string("%.2f", "l_quantity"), F.format_string("%.2f JOD", "l_extendedprice"), F.lit("lowest")]
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), x, F.lit("</td>")) for x in cells], F.lit("</tr>"))
+    price = F.concat(F.lit(f"<tr><th>{portal_html.AWARD_ITEMS}</th><th>{portal_html.AWARD_PRICE} "), F.when(F.max((F.col("l_tax") > 0).cast("int")) == 1, "x").otherwise(portal_html.AWARD_NET), F.lit("</th></tr>"))
+    html = F.concat(F.lit(head + "<table>"), price, F.array_join(F.collect_list(row), ""), F.lit("</table>"))
+    pages = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(html.alias("html"))
+    return portal_html.award_rows(pages).groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.round(F.sum("awarded_qty"), 2).alias("quantity"), F.round(F.sum("total_value"), 2).alias("total"), F.count("unit_cost").alias("with_cost"), F.max("price_incl_tax").alias("taxed"),
+    )
+
+
 def _alias_case() -> str:
     exact = " ".join(f"WHEN '{a}' THEN '{f}'" for a, f in tabular.FIELD_OF.items())
     held = " ".join(f"WHEN contains(k, '{a}') THEN '{f}'" for a, f in tabular.FIELD_OF.items() if len(a) > 2)
