@@ -148,12 +148,12 @@ def decoded(url: Column) -> Column:
 
 def url_key(url: Column) -> Column:
     """A url as it matches between sources: decoded, without closing slashes, lower case."""
-    return F.lower(F.regexp_replace(decoded(url), "/+$", ""))
+    return F.lower(F.regexp_replace(decoded(url), r"/+\z", ""))
 
 
 def url_slug(url: Column) -> Column:
     """The decoded last part of a url's path."""
-    return decoded(F.substring_index(F.regexp_replace(url, "/+$", ""), "/", -1))
+    return decoded(F.substring_index(F.regexp_replace(url, r"/+\z", ""), "/", -1))
 
 
 def url_file(url: Column) -> Column:

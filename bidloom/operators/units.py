@@ -73,7 +73,7 @@ def common_amounts(items: DataFrame, key: str = "id", text: str = "qty_raw", uni
     dots = F.lit(False) if dot_groups is None else F.coalesce(dot_groups, F.lit(False))
     q, u = _upper(F.col(text)), _upper(F.col(unit))
     number = F.nullif(F.regexp_extract(q, _NUMBER, 0), F.lit(""))
-    behind = F.regexp_extract(q, r"^[^0-9]*" + _NUMBER + r"(.*)$", 1)
+    behind = F.regexp_extract(q, r"(?s)^[^0-9]*" + _NUMBER + r"(.*)\z", 1)
     keep = items.columns
     df = items.withColumns({"_n": plain_number(number, dots), "_dots": dots, "_behind": behind, "_u": u})
     for side, source in (("q", "_behind"), ("u", "_u")):

@@ -263,7 +263,7 @@ def bound_sql(spark: SparkSession, d: str) -> DataFrame:
   COALESCE(NULLIF(title_en, ''), NULLIF(title_ar, '')) AS title FROM tenders WHERE regexp_matches(COALESCE(tender_id, ''), '^[A-Za-z0-9/. _-]*$') AND regexp_matches(COALESCE(method, ''), '^[A-Za-z0-9]*$')""")
 def detail_links(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
-    plain = F.coalesce(c("tender_id"), F.lit("")).rlike("^[A-Za-z0-9/. _-]*$") & F.coalesce(c("method"), F.lit("")).rlike("^[A-Za-z0-9]*$")
+    plain = F.coalesce(c("tender_id"), F.lit("")).rlike(r"^[A-Za-z0-9/. _-]*\z") & F.coalesce(c("method"), F.lit("")).rlike(r"^[A-Za-z0-9]*\z")
     return table(spark, d, "tenders").where(plain).select("post_id", X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method")).alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
 
 

@@ -165,7 +165,7 @@ def test_units_on_tables(spark):
         ("5 BOX X 10", None, False, ("each", 50)), ("3 BAG OF 2.5 LTR", None, False, ("ml", 7500)), ("12.5 K", "PCS", False, ("each", 12_500)), ("4 DOZEN", "DOZEN", False, ("each", 48)),
         ("7", "GROSS", False, ("each", 1008)), ("٢٬٥٠٠ ملغ", None, False, ("mg", 2500)), ("10 EACH", "EACH", False, ("each", 10)), ("2", "100'S", False, ("each", 200)), ("6", "BX24", False, ("each", 144)),
         ("9", "ROLL/4.5M", False, ("mm", 40_500)), ("8", None, False, ("each", 8)), ("5", "VIAL", False, ("each", 5)), ("2 million", "ML", False, ("ml", 2_000_000)), ("1 000 250", "mm", False, ("mm", 1_000_250)),
-        ("AS PER LIST", "EA", False, None), ("", "EA", False, None), ("1.2.3", "EA", False, None), ("9" * 40, "EA", False, None), ("3 DOZEN", "BOX OF 10", False, ("each", 360)),
+        ("AS PER LIST", "EA", False, None), ("", "EA", False, None), ("1.2.3", "EA", False, None), ("9" * 40, "EA", False, None), ("3 DOZEN", "BOX OF 10", False, ("each", 360)), ("4\nLTR\n", None, False, ("ml", 4000)),
     ],
 )
 def test_amounts(spark, raw, uom, joneps, expected):
