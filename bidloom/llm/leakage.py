@@ -48,16 +48,16 @@ def myers_distance(pattern: str, text: str) -> int:
 
 
 class Passages:
-    """The windows of `run` words of each test item, cut into budget + 1 pieces each, with one automaton for all pieces.
+    """The windows of `run` words of each test item, cut into pieces of which each holds budget + 1, with one automaton for all pieces.
 
-    If a stretch of a document differs from a window by at most `budget` changed words, one of the window's budget + 1 pieces stands in
-    it unchanged. Windows of one item share their pieces: pieces are the aligned blocks of size w = ceil(run / (budget + 1)) and, since
-    a window may begin between two blocks, those of the size that every window holds whole: (run + 1) // (budget + 1) words.
+    If a stretch of a document differs from a window by at most `budget` changed words, one of budget + 1 disjoint pieces of the window
+    stands in it unchanged. Windows of one item share their pieces, the aligned blocks of w words. A window may begin between two blocks
+    and then loses up to w - 1 words before the first whole one, so w is (run + 1) // (budget + 2): (run - (w - 1)) // w >= budget + 1.
     """
 
     def __init__(self, items: list[tuple[int, str]], run: int = 13, budget: int = 1):
         self.run, self.budget = run, budget
-        self.size = (run + 1) // (budget + 1)
+        self.size = (run + 1) // (budget + 2)
         self.items = {i: words_of(t) for i, t in items}
         homes: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, words in self.items.items():

@@ -1,5 +1,6 @@
 """Leaked test passages."""
 
+import itertools
 import random
 import re
 
@@ -71,6 +72,28 @@ def test_one_changed_word_is_within_the_budget(spark):
     assert got == {(1, 1)}
 
 
+@pytest.mark.parametrize("words", [13, 14, 19, 20, 27])
+def test_a_changed_word_is_found_at_every_place(words):
+    """Every window of the item, alone in a document with any one of its words changed, against the window itself."""
+    item = WORDS[:words]
+    passages = leakage.Passages([(1, " ".join(item))])
+    for s in range(words - 12):
+        for k in range(13):
+            window = item[s : s + 13]
+            window[k] = "other"
+            assert list(passages.leaks(" ".join(["x", *window, "y"]))) == [(1, max(k, 12 - k), 1)], (s, k)
+
+
+def test_as_many_changed_words_as_the_budget():
+    item = WORDS[:31]
+    for budget in (0, 2, 3):
+        passages = leakage.Passages([(1, " ".join(item))], budget=budget)
+        for s in range(31 - 12):
+            for places in itertools.combinations(range(13), budget):
+                window = ["other" if k in places else w for k, w in enumerate(item[s : s + 13])]
+                assert [(i, d) for i, _, d in passages.leaks(" ".join(["x", *window, "y"]))] == [(1, budget)], (s, places)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("abcd", max_size=70), st.text("abcd", max_size=70))
 def test_myers_distance(a, b):
