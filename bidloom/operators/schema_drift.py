@@ -51,9 +51,20 @@ def raw_entries(items: DataFrame, *keep: str) -> DataFrame:
     return items.where(F.col("attachment_id").isNotNull()).select(*keep, F.explode(parsed).alias("key", "value")).select(*keep, normal_label(F.col("key")).alias("label"), "value")
 
 
-def label_catalogue(items: DataFrame) -> DataFrame:
+def as_number(text: Column) -> Column:
+    """Null where the text is no number."""
+    return text.try_cast("decimal(38,10)")
+
+
+def as_flag(text: Column) -> Column:
+    """Null where the text is neither true nor false."""
+    return F.when(F.lower(text) == "true", True).when(F.lower(text) == "false", False)
+
+
+def label_catalogue(items: DataFrame, casts: bool = False) -> DataFrame:
     """One row per file and label: types (bits), filled (non-null values) and, per item column, how many values equal it.
 
+    With casts also numbers and flags, how many values read as a number, as true or false.
     Rows combine on the map side, so a file or label that holds a third of all rows costs no more than others.
     """
     rows = raw_entries(items.select("attachment_id", *FIELDS, "raw_row"), "attachment_id", *FIELDS)
@@ -64,6 +75,7 @@ def label_catalogue(items: DataFrame) -> DataFrame:
         F.bit_or("bit").alias("types"),
         F.sum((F.col("bit") > 0).cast("long")).alias("filled"),
         *[F.sum(F.coalesce(same[f], F.lit(False)).cast("long")).alias(f"is_{f}") for f in FIELDS],
+        *([F.count(as_number(F.col("text"))).alias("numbers"), F.count(as_flag(F.col("text"))).alias("flags")] if casts else []),
     )
 
 
@@ -74,6 +86,17 @@ def alias_table(catalogue: DataFrame) -> DataFrame:
     return sums.select("label", "filled", best.alias("b")).where(F.col("b.n") * 2 > F.col("filled")).select("label", F.col("b.field").alias("field"))
 
 
+def label_types(catalogue: DataFrame) -> DataFrame:
+    """(label, field, kind): the item column of a label as in the alias table, else null, and the type that more than half of the filled values
+    of its field read as, over all its labels: number, flag or text. For a catalogue with casts."""
+    sums = catalogue.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("filled", "numbers", "flags", *[f"is_{f}" for f in FIELDS])])
+    best = F.greatest(*[F.struct(F.col(f"is_{f}").alias("n"), F.lit(f).alias("field")) for f in FIELDS])
+    named = sums.withColumn("b", best).withColumn("field", F.when(F.col("b.n") * 2 > F.col("filled"), F.col("b.field")))
+    total = lambda c: F.sum(c).over(Window.partitionBy("field", F.when(F.col("field").isNull(), F.col("label"))))
+    kind = F.when(total("numbers") * 2 > total("filled"), "number").when(total("flags") * 2 > total("filled"), "flag").otherwise("text")
+    return named.select("label", "field", kind.alias("kind"))
+
+
 def label_lifespans(items: DataFrame, files: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
     """The column catalogue by feed and file: (feed, file_no, field_key, label, types). field_key is the item column or the label itself.
 
@@ -124,16 +147,43 @@ def label_changes(items: DataFrame, files: DataFrame) -> DataFrame:
     return log.join(own, ["feed", "file_no"]).select("attachment_id", "change_kind", "label")
 
 
-def consistent_items(items: DataFrame) -> DataFrame:
-    """One table of all files: (id, attachment_id, sn, nupco_code, description, uom, qty_raw, parsed), read from raw_row under any label.
+def _by_key(entries: Column, value: str) -> Column:
+    """A map of an array of structs: key -> greatest value, without the entries whose value is null."""
+    filled = F.filter(entries, lambda e: e[value].isNotNull())
+    keys = F.array_distinct(F.transform(filled, lambda e: e["key"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_max(F.transform(F.filter(filled, lambda e: e["key"] == k), lambda e: e[value]))))
+
 
-    Values are taken out by the alias table and cast to text; codes keep their digits only. parsed is false where raw_row is cut off
-    or null; such rows have null fields. Rows without id are left out, redelivered rows count once.
+def consistent_items(items: DataFrame) -> DataFrame:
+    """One table of all files: (id, attachment_id, sn, nupco_code, description, uom, qty_raw, others, numbers, flags, parsed), read from raw_row under
+    any label.
+
+    The five fields are taken out by the alias table, as text; codes keep their digits only. others holds every other label with its
+    texts (none for null): a label without alias, a code without digits, and what a second label or a redelivered row says otherwise of a
+    field, of which the greatest text stands. Labels are normalised; one without any of a-z and 0-9 stands as it is. numbers and flags hold the
+    values of the fields, by column or label, that the catalogue shows as numbers or as true and false (see label_types), as far as they can be
+    cast; the text stays in any case. parsed is false where raw_row is cut off or null; such rows have null fields and empty maps. Rows without id
+    are left out, redelivered rows count once.
     """
     own = items.where(F.col("id").isNotNull()).select("id", "attachment_id", *FIELDS, "raw_row")
-    aliases = alias_table(label_catalogue(own))
-    entries = raw_entries(own, "id", "attachment_id").select("id", "label", value_text(F.col("value")).alias("text"))
-    fields = entries.join(aliases, "label").select("id", "field", F.when(F.col("field") == "nupco_code", F.nullif(F.regexp_replace("text", "[^0-9]", ""), F.lit(""))).otherwise(F.col("text")).alias("text"))
-    wide = fields.groupBy("id").agg(*[F.max(F.when(F.col("field") == f, F.col("text"))).alias(f) for f in FIELDS])
-    every = own.groupBy("id").agg(F.max("attachment_id").alias("attachment_id"), F.max(F.from_json("raw_row", "map<string,variant>").isNotNull()).alias("parsed"))
-    return every.join(wide, "id", "left").select("id", "attachment_id", *FIELDS, "parsed")
+    types = label_types(label_catalogue(own, casts=True))
+    raw = own.select("id", "attachment_id", F.from_json("raw_row", "map<string,variant>").alias("raw"))
+    entries = raw.select("id", "attachment_id", F.col("raw").isNotNull().alias("parsed"), F.explode_outer("raw").alias("name", "value"))
+    texts = entries.select("id", "attachment_id", "parsed", "name", normal_label(F.col("name")).alias("label"), value_text(F.col("value")).alias("text")).join(types, "label", "left")
+    value = F.when(F.col("field") == "nupco_code", F.nullif(F.regexp_replace("text", "[^0-9]", ""), F.lit(""))).otherwise(F.col("text"))
+    shown = F.when(F.col("label") == "", F.trim("name")).otherwise(F.col("label"))
+    texts = texts.withColumns({"value": value, "shown": shown})
+    number, flag = F.when(F.col("kind") == "number", as_number(F.col("value"))), F.when(F.col("kind") == "flag", as_flag(F.col("value")))
+    entry = F.struct(F.col("shown").alias("label"), F.coalesce("field", "shown").alias("key"), "field", "text", "value", number.alias("number"), flag.alias("flag"))
+    wide = texts.groupBy("id").agg(
+        F.max("attachment_id").alias("attachment_id"), F.max("parsed").alias("parsed"), *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS],
+        F.array_sort(F.collect_set(F.when(F.col("name").isNotNull(), entry))).alias("entries"),
+    )
+    stands = lambda e: F.coalesce(*[F.when(e["field"] == f, e["value"] == F.col(f)) for f in FIELDS], F.lit(False))
+    rest = F.filter("entries", lambda e: e["field"].isNull() | (e["text"].isNotNull() & ~stands(e)))
+    valued = F.filter("entries", lambda e: e["field"].isNull() | stands(e))
+    wide = wide.withColumns({"rest": rest, "valued": valued})
+    labels = F.array_distinct(F.transform("rest", lambda e: e["label"]))
+    others = F.map_from_arrays(labels, F.transform(labels, lambda k: F.array_distinct(F.transform(F.filter("rest", lambda e: (e["label"] == k) & e["text"].isNotNull()), lambda e: e["text"]))))
+    maps = (others.alias("others"), _by_key(F.col("valued"), "number").alias("numbers"), _by_key(F.col("valued"), "flag").alias("flags"))
+    return wide.select("id", "attachment_id", *FIELDS, *maps, "parsed")

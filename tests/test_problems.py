@@ -143,6 +143,39 @@ def test_consistent_table(spark):
     assert [rows[i]["parsed"] for i in (10, 20, 30, 40)] == [True, True, False, False]
 
 
+def test_consistent_table_keeps_every_label(spark):
+    files = [
+        (1, {"SN": "1", "Code": 4212, "Cold Chain": ["a", "b"], "Months": 12, "Urgent": True, "ملاحظة": "x", "موقع": "y"}),
+        (2, {"sn.": 2, "Code": "none", "Cold  chain!": None, "Months": "24", "Urgent": "False", "Qty": {"amount": 7.5}}),
+        (3, {"SN": "3a", "Code": 77, "months": "two years", "MONTHS": 36, "Urgent": False, "Qty": "8"}), (4, '{"SN": "4'), (5, {}),
+    ]
+    items = spark.createDataFrame(drift_rows(files), ITEM)
+    rows = {r["id"]: r for r in schema_drift.consistent_items(items.union(items)).collect()}
+    assert rows[10]["others"] == {"cold chain": ["a b"], "months": ["12"], "urgent": ["true"], "ملاحظة": ["x"], "موقع": ["y"]}
+    assert rows[20]["others"] == {"cold chain": [], "code": ["none"], "months": ["24"], "urgent": ["False"]}
+    assert rows[30]["others"] == {"months": ["36", "two years"], "urgent": ["false"]}
+    numbers = {i: {k: float(v) for k, v in r["numbers"].items()} for i, r in rows.items()}
+    assert numbers == {10: {"sn": 1, "nupco_code": 4212, "months": 12}, 20: {"sn": 2, "months": 24, "qty_raw": 7.5}, 30: {"nupco_code": 77, "months": 36, "qty_raw": 8}, 40: {}, 50: {}}
+    assert [rows[i]["flags"] for i in (10, 20, 30)] == [{"urgent": True}, {"urgent": False}, {"urgent": False}]
+    assert [(rows[i]["others"], rows[i]["parsed"]) for i in (40, 50)] == [({}, False), ({}, True)]
+
+
+@with_data
+def test_no_label_value_is_lost(spark):
+    """Every filled value of every parseable raw_row stands in a field or under its label."""
+    items = table(spark, DATA, "tender_items")
+    rows = {r["id"]: r for r in schema_drift.consistent_items(items).collect()}
+    for i, raw in items.where("id IS NOT NULL").select("id", "raw_row").collect():
+        try:
+            named = json.loads(raw or "")
+        except ValueError:
+            continue
+        held = {t for ts in rows[i]["others"].values() for t in ts} | {rows[i][f] for f in schema_drift.FIELDS}
+        for value in named.values():
+            text = "" if value is None else brute.flat(value)
+            assert value is None or text in held or "".join(c for c in text if c.isdigit()) == rows[i]["nupco_code"], (i, value)
+
+
 # --- units ---
 
 
