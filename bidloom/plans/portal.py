@@ -267,6 +267,13 @@ def detail_links(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "tenders").where(plain).select("post_id", X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method")).alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
 
 
+@query()
+def all_detail_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links of all tenders, also of those whose id or method needs escapes that the SQL of detail_links leaves out."""
+    c = F.col
+    return table(spark, d, "tenders").select("post_id", X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method")).alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
+
+
 # --- upsert, delist ---
 
 _STAND = """(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY snapshot_no, post_id ORDER BY CAST(last_seen_at AS TIMESTAMPTZ) DESC NULLS LAST, content_hash DESC NULLS LAST) AS k
