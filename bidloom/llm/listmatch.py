@@ -5,28 +5,16 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from math import ceil
+from dataclasses import dataclass, field
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNMATCHED = "UNMATCHED"
-
-#: Spellings of dosage forms.
-FORMS = {
-    "MEDIUM": "MEDIUM MEDIUMS MEDIA MED", "GLOVE": "GLOVE GLOVES GLV", "SOLUTION": "SOLUTION SOLUTIONS SOLN SOL", "REAGENT": "REAGENT REAGENTS RGT",
-    "CAPSULE": "CAPSULE CAPSULES CAP CAPS", "STAIN": "STAIN STAINS STN", "BANDAGE": "BANDAGE BANDAGES BNDG", "POWDER": "POWDER POWDERS PWD PWDR",
-    "CATHETER": "CATHETER CATHETERS CATH", "TUBING": "TUBING TUBINGS TUBNG", "TABLET": "TABLET TABLETS TAB TABS", "STENT": "STENT STENTS STNT",
-    "SYRUP": "SYRUP SYRUPS SYR", "INJECTION": "INJECTION INJECTIONS INJ INJECTABLE INJECTABLES", "TEST KIT": "TESTKIT TESTKITS KIT KITS",
-    "SYRINGE": "SYRINGE SYRINGES SYRNG", "CREAM": "CREAM CREAMS CRM",
-}
-FORM_OF = {word: form for form, words in FORMS.items() for word in words.split()}
+from bidloom.functions.digits import ascii_digits
 
-#: Remarks that say nothing about the product.
-REMARKS = (
-    "FOR ADULT USE", "HOSPITAL PACK", "LOCAL OR IMPORTED", "AS PER SPECIFICATION", "REF ANNEX B", "NEW TENDER", "SFDA REGISTERED", "LATEX FREE", "DISPOSABLE", "STERILE",
-)
+UNMATCHED = "UNMATCHED"
 
 #: Strength unit -> (common unit, factor over, factor under).
 STRENGTH_UNITS = {
@@ -35,13 +23,9 @@ STRENGTH_UNITS = {
 }
 
 _DIGITS = str.maketrans("٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹", "0123456789" * 2)
-_REMARK = re.compile(r"(?<![^\W_])(?:" + "|".join(r"\W+".join(r.split()) for r in REMARKS) + r")(?![^\W_])")
-#: "KIT, TEST" goes first: in "60 TEST KIT, TEST" the first TEST belongs to the strength.
-_KITS = (re.compile(r"(?<![^\W_])KITS?\s*,\s*TESTS?(?![^\W_])"), re.compile(r"(?<![^\W_])TEST\W*KITS?(?![^\W_])"))
 _UNITS = "|".join(sorted(STRENGTH_UNITS, key=len, reverse=True))
 _STRENGTH = re.compile(r"(?<![^\W_])([0-9]+(?:[.,][0-9]+)*)[\s-]*(" + _UNITS + r")(?![^\W_])|(?<![^\W_])(FRENCH|FR|CH)[\s-]*([0-9]+)(?![^\W_])")
 _WORDS = re.compile(r"[^\W\d_]+")
-_NOISE = {"SIZE"}
 
 
 def strength_of(number: str, unit: str) -> tuple[str, float] | None:
@@ -55,28 +39,90 @@ def strength_of(number: str, unit: str) -> tuple[str, float] | None:
     return common, round(value * over / under, 6)
 
 
-def parse_product(text: str) -> tuple[str, tuple[str, float] | None, str | None]:
-    """(substance letters, strength, dosage form) of a product text.
+def skeleton(word: str) -> str:
+    """A word without the vowels behind its first letter."""
+    return word[:1] + re.sub("[AEIOU]", "", word[1:])
+
+
+def lacks_vowels(word: str, name: str) -> bool:
+    """Whether word is name without some of its vowels."""
+    rest = iter(name)
+    return skeleton(word) == skeleton(name) and all(letter in rest for letter in word)
+
+
+@dataclass
+class Vocabulary:
+    """What words of product texts mean beside the substance: spellings of dosage forms, and words that say nothing about the product."""
 
-    A remark or form word, the strength and size words are taken out; the letters that remain, joined, are the substance. An empty
-    substance, no strength or no form is what the text lacks.
+    forms: tuple[str, ...]
+    spellings: dict[str, str] = field(default_factory=dict)
+    noise: frozenset[str] = frozenset()
+
+    def __post_init__(self):
+        known: dict[str, str] = {}
+        for form in sorted(self.forms):
+            words = _WORDS.findall(form)
+            for word in ("".join(words), words[-1] if words else ""):
+                if word:
+                    known.setdefault(word, form)
+                    known.setdefault(word + "S", form)
+        # Words of a form of several words that don't name it alone.
+        self.parts = {w for form in self.forms for w in _WORDS.findall(form)} - set(known)
+        self.known = known | self.spellings
+
+    def short_form(self, word: str) -> str | None:
+        """The only form whose name begins with word, of three letters or more, or becomes it without some vowels."""
+        if len(word) < 3:
+            return None
+        fits = {form for name, form in self.known.items() if name.startswith(word) or lacks_vowels(word, name)}
+        return fits.pop() if len(fits) == 1 else None
+
+    def parse(self, text: str) -> tuple[str, tuple[str, float] | None, str | None]:
+        """(substance letters, strength, dosage form) of a product text.
+
+        The strength, the words of forms and those without meaning are taken out; the letters that remain, joined, are the substance. If no
+        known spelling names the form, a word that can only be one form's abbreviation does. An empty substance, no strength or no form is
+        what the text lacks.
+        """
+        up = text.upper().translate(_DIGITS)
+        strength, form, letters = None, None, []
+        if m := _STRENGTH.search(up):
+            strength = strength_of(m[1] or m[4], m[2] or m[3])
+            up = up[: m.start()] + " " + up[m.end() :]
+        for word in _WORDS.findall(up):
+            if word in self.known:
+                form = form or self.known[word]
+            elif word not in self.noise and word not in self.parts:
+                letters.append(word)
+        if form is None:
+            for k, word in enumerate(letters):
+                if form := self.short_form(word):
+                    del letters[k]
+                    break
+        return "".join(letters), strength, form
+
+
+def learned_words(items: DataFrame, products: DataFrame, least_names: int = 6, sure: float = 0.95, most_words: int = 100_000) -> tuple[dict[str, str], frozenset[str]]:
+    """(spellings of forms, words without meaning), from the texts of all items whose code is in the list.
+
+    A word that stands beside `least_names` substances or more, none of which it is a part of, belongs to no substance. If `sure` of its rows are of
+    one dosage form it spells that form, else it means nothing. Units of strength are left out. products: (nupco_code, name, form) with the letters of
+    the substance. All coded rows count; they combine on the map side by (word, name, form). The words that come back are those of the
+    vocabulary, not of the data; more than most_words raise an error.
     """
-    up = _REMARK.sub(" ", text.upper().translate(_DIGITS))
-    form = None
-    for kit in _KITS:
-        if form is None and kit.search(up):
-            form, up = "TEST KIT", kit.sub(" ", up)
-    strength = None
-    if m := _STRENGTH.search(up):
-        strength = strength_of(m[1] or m[4], m[2] or m[3])
-        up = up[: m.start()] + " " + up[m.end() :]
-    letters = []
-    for word in _WORDS.findall(up):
-        if word in FORM_OF:
-            form = form or FORM_OF[word]
-        elif word not in _NOISE:
-            letters.append(word)
-    return "".join(letters), strength, form
+    up = F.upper(ascii_digits(F.col("description")))
+    rows = items.where(F.col("description").isNotNull()).select("nupco_code", F.array_distinct(F.regexp_extract_all(up, F.lit(r"\p{L}+"), F.lit(0))).alias("words"))
+    words = rows.join(F.broadcast(products), "nupco_code").select("name", "form", F.explode("words").alias("word"))
+    foreign = words.where(~F.col("name").contains(F.col("word")) & ~F.col("word").isin(list(STRENGTH_UNITS)))
+    by_name = foreign.groupBy("word", "name", "form").agg(F.count(F.lit(1)).alias("n"))
+    by_form = by_name.groupBy("word", "form").agg(F.sum("n").alias("n"), F.collect_set("name").alias("names"))
+    seen = by_form.groupBy("word").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "form")).alias("top"), F.size(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"),
+    )
+    found = seen.where(F.col("names") >= least_names).select("word", (F.col("top.n") >= F.col("n") * sure).alias("sure"), "top.form").limit(most_words + 1).collect()
+    if len(found) > most_words:
+        raise ValueError(f"the vocabulary has more than {most_words} words")
+    return {r["word"]: r["form"] for r in found if r["sure"]}, frozenset(r["word"] for r in found if not r["sure"])
 
 
 def grams(word: str) -> list[str]:
@@ -112,7 +158,9 @@ class NameIndex:
     """
 
     def __init__(self, names: list[str], threshold: float = 0.25, most_edits: int = 2, shortest: int = 5):
-        self.names, self.t, self.most, self.shortest = sorted(set(names)), threshold, most_edits, shortest
+        self.names, self.most, self.shortest = sorted(set(names)), most_edits, shortest
+        # The threshold as a ratio of integers: sizes at the very threshold must not fall to rounding.
+        self.over, self.under = Fraction(str(threshold)).as_integer_ratio()
         count = Counter(g for n in self.names for g in grams(n))
         self.rank = {g: (c, g) for g, c in count.items()}
         self.bit = {g: 1 << i for i, g in enumerate(sorted(count))}
@@ -129,7 +177,7 @@ class NameIndex:
         return sorted(grams(word), key=lambda g: self.rank.get(g, (0, g)))
 
     def _prefix(self, size: int) -> int:
-        return size - ceil(self.t * size) + 1
+        return size + self.over * -size // self.under + 1
 
     def similar(self, word: str) -> list[tuple[float, str]]:
         """(Jaccard similarity, name) of all names at or above the threshold, best first; ties by name."""
@@ -140,8 +188,8 @@ class NameIndex:
         shared: dict[int, int] = {}
         for pos, g in enumerate(own[: self._prefix(n)]):
             for k, at, m in self.posting.get(g, ()):
-                if self.t * n <= m and self.t * m <= n:
-                    need = ceil(self.t / (1 + self.t) * (n + m))
+                if self.over * n <= self.under * m and self.over * m <= self.under * n:
+                    need = -(self.over * -(n + m) // (self.over + self.under))
                     so_far = shared.get(k, 0)
                     if so_far >= 0:
                         shared[k] = so_far + 1 if so_far + 1 + min(n - pos - 1, m - at - 1) >= need else -1
@@ -150,18 +198,18 @@ class NameIndex:
         for k, s in shared.items():
             if s > 0:
                 both = (mask & self.masks[k]).bit_count()
-                similarity = both / (n + self.sizes[k] - both)
-                if similarity >= self.t:
-                    found.append((-similarity, self.names[k]))
+                every = n + self.sizes[k] - both
+                if both * self.under >= self.over * every:
+                    found.append((-both / every, self.names[k]))
         return [(-s, name) for s, name in sorted(found)]
 
     def name_of(self, word: str) -> str | None:
-        """The name that word stands for: of the similar names the one within most_edits with the fewest, else the only one it shortens."""
+        """The name that word stands for: the most similar of those within most_edits, of equal ones that with the fewest, else the only one it shortens."""
         if word not in self.memo:
             if len(self.memo) > 200_000:
                 self.memo.clear()
             close = self.similar(word)
-            best = min(((e, -s, name) for s, name in close if (e := edits(word, name, self.most)) <= self.most), default=None)
+            best = min(((-s, e, name) for s, name in close if (e := edits(word, name, self.most)) <= self.most), default=None)
             short = [name for _, name in close if len(word) >= self.shortest and name.startswith(word)]
             self.memo[word] = best[2] if best else short[0] if len(short) == 1 else None
         return self.memo[word]
@@ -171,7 +219,8 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
     """(item_id, list_code): one row per item id without a usable code, with the list entry of its text or UNMATCHED.
 
     The list is a fixed table; it is read whole, checked against most_products, and its index goes to the tasks, so no item is shuffled
-    until the results, and copies of a text cost a lookup. An entry must have the substance, the strength and the form. The
+    until the results. Forms are those of the list; how texts spell them and which words mean nothing is learned from the items with a
+    listed code (learned_words), without which only the forms' own names and clear abbreviations are known. An entry must have the substance, the strength and the form. The
     substance is read from the description; where a generic name is given as well and stands for a list name, that
     settles a description that doesn't; where it stands for another or none, a merely shortened description is not trusted, and a
     typed one only if it isn't closer to the generic name. Null and
@@ -182,21 +231,27 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
     if len(listed) > most_products:
         raise ValueError(f"the list has more than {most_products} entries")
     entries: dict[tuple, str] = {}
+    taught: dict[str, tuple[str, str, str]] = {}
     for code, generic, stated, form in sorted(tuple(r) for r in listed if None not in tuple(r)):
         number, _, unit = stated.upper().partition(" ")
+        name = "".join(_WORDS.findall(generic.upper()))
+        taught[code] = (code, name, form.upper())
         strength = strength_of(number, unit) if unit in STRENGTH_UNITS else None
         if strength is not None:
-            entries.setdefault(("".join(_WORDS.findall(generic.upper())), strength, form.upper()), code)
+            entries.setdefault((name, strength, form.upper()), code)
     names = [k[0] for k in entries]
     codes = sorted({r["list_code"] for r in listed if r["list_code"] is not None})
-    usable = items.sparkSession.createDataFrame([(c,) for c in codes], "nupco_code string")
+    spark = items.sparkSession
+    usable = spark.createDataFrame([(c,) for c in codes], "nupco_code string")
+    spellings, noise = learned_words(items, spark.createDataFrame(list(taught.values()), "nupco_code string, name string, form string"))
+    words = Vocabulary(tuple({k[2] for k in entries}), spellings, noise)
     open_items = (
         items.select(id_column, "nupco_code", "description", "generic_name").where(F.col(id_column).isNotNull())
         .join(F.broadcast(usable), "nupco_code", "left_anti").select(F.col(id_column).cast("long").alias("item_id"), "description", "generic_name")
     )
 
     def code_of(index: NameIndex, description: str | None, generic: str | None) -> str:
-        letters, strength, form = parse_product(description or "")
+        letters, strength, form = words.parse(description or "")
         stated = "".join(_WORDS.findall((generic or "").upper()))
         by_text = index.name_of(letters) if letters else None
         by_generic = index.name_of(stated) if stated else None

@@ -13,6 +13,11 @@ from bidloom.session import table
 
 LIST = [("42001", "ZELWEXDASKEX", "12 FR", "TUBING"), ("51001", "CRICLEMNEPEX", "250 MG", "CAPSULE"), ("51002", "CRICLEMNEPEX", "1000 MG", "CAPSULE"), ("41001", "JORCRIJOREX", "120 TESTS", "TEST KIT"), ("51003", None, "5 MG", "SYRUP")]
 
+#: Coded items of other products, from whose texts the words are learned; forms alternate, so that remarks belong to none.
+TAUGHT = [("9%03d" % i, name, "5 MG", form) for i, (name, form) in enumerate([(n, f) for n in ("BOLZUK", "DWIMARG", "FULKOSH", "GRUDBIN", "HAZTOLK", "KWIBDUR") for f in ("SYRUP", "CAPSULE")])]
+REMARKS = ("NEW TENDER", "LATEX FREE", "sterile", "size")
+LESSONS = [(1000 * k + i, code, f"{name}, 5 MG {form} ({remark}", None) for k, remark in enumerate(REMARKS, 1) for i, (code, name, _, form) in enumerate(TAUGHT)]
+
 
 @pytest.mark.parametrize(
     ("text", "generic", "code"),
@@ -25,11 +30,37 @@ LIST = [("42001", "ZELWEXDASKEX", "12 FR", "TUBING"), ("51001", "CRICLEMNEPEX",
     ],
 )
 def test_match(spark, text, generic, code):
-    items = spark.createDataFrame([(1, None, text, generic, "clash")], "id long, nupco_code string, description string, generic_name string, list_code string")
-    products = spark.createDataFrame(LIST, "list_code string, generic_name string, strength string, dosage_form string")
+    items = spark.createDataFrame([(*r, "clash") for r in [(1, None, text, generic), *LESSONS]], "id long, nupco_code string, description string, generic_name string, list_code string")
+    products = spark.createDataFrame(LIST + TAUGHT, "list_code string, generic_name string, strength string, dosage_form string")
     assert [tuple(r) for r in listmatch.match_products(items, products).collect()] == [(1, code)]
 
 
+def test_a_new_form_of_the_list_is_known(spark):
+    """By its name, plural and clear abbreviations at once; by other spellings as soon as coded items use them."""
+    products = spark.createDataFrame([*LIST, *TAUGHT, ("6000", "BOLZUK", "5 MG", "LOZENGE")] + [(f"6{i:03d}", n, "5 MG", "LOZENGE") for i, (_, n, _, f) in enumerate(TAUGHT, 1) if f == "SYRUP" and n != "BOLZUK"], "list_code string, generic_name string, strength string, dosage_form string")
+    texts = ["BOLZUK 5 MG lozenge", "Lozenges BOLZUK 5 MG", "BOLZUK 5 MG LOZ", "BOLZUK LZNG 5 MG", "BOLZUK 5 MG PASTILLE"]
+    rows = [(i, None, t, None) for i, t in enumerate(texts)]
+    schema = "id long, nupco_code string, description string, generic_name string"
+    found = lambda rows: [r["list_code"] for r in listmatch.match_products(spark.createDataFrame(rows, schema), products).orderBy("item_id").collect()]
+    assert found(rows) == ["6000"] * 4 + ["UNMATCHED"]
+    lessons = [(100 + i, f"6{i:03d}", f"{n} 5 MG PASTILLE", None) for i, (_, n, _, f) in enumerate(TAUGHT, 1) if f == "SYRUP" and n != "BOLZUK"] + [(100, "6000", "PASTILLE 5 MG BOLZUK", None)]
+    assert found(rows + lessons) == ["6000"] * 5
+
+
+def test_words_are_learned(spark):
+    schema = "id long, nupco_code string, description string, generic_name string"
+    taught = spark.createDataFrame([(c, n, f) for c, n, _, f in TAUGHT], "nupco_code string, name string, form string")
+    rows = LESSONS + [(1, "9000", "BOLZUK 5 MG SYRUP ODD", None), (2, None, "NEW WORDS", None), (3, "9001", None, None)]
+    spellings, noise = listmatch.learned_words(spark.createDataFrame(rows, schema), taught)
+    assert spellings == {"SYRUP": "SYRUP", "CAPSULE": "CAPSULE"} and noise == {"NEW", "TENDER", "LATEX", "FREE", "STERILE", "SIZE"}
+    with pytest.raises(ValueError):
+        listmatch.learned_words(spark.createDataFrame(rows, schema), taught, most_words=2)
+
+
+def test_sizes_at_the_very_threshold():
+    assert [n for _, n in listmatch.NameIndex(["AABADA"], 0.2).similar("BEAACBABBCCA")] == ["AABADA"]
+
+
 def test_only_items_without_a_listed_code(spark):
     items = spark.createDataFrame([(1, "42001", "x", None), (2, "4200", "x", None), (3, None, "x", None), (3, None, "x", None), (None, None, "x", None)], "id long, nupco_code string, description string, generic_name string")
     products = spark.createDataFrame(LIST, "list_code string, generic_name string, strength string, dosage_form string")
@@ -72,13 +103,14 @@ def test_edits(a, b):
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables here")
 def test_accuracy_on_items_with_a_code(spark):
-    """Held-out truth: items whose code is in the list, matched by their text alone."""
+    """Held-out truth: one half of the items with a listed code teaches the words, the other is matched by its text alone."""
     d = "/root/testdata/sf0.01"
     products = table(spark, d, "product_list")
     coded = table(spark, d, "tender_items").join(products.select(F.col("list_code").alias("nupco_code")), "nupco_code").dropDuplicates(["id"])
-    found = listmatch.match_products(coded.select("id", F.lit(None).cast("string").alias("nupco_code"), "description", "generic_name"), products)
+    taught = F.when(F.xxhash64("id") % 2 == 0, F.col("nupco_code"))
+    found = listmatch.match_products(coded.select("id", taught.alias("nupco_code"), "description", "generic_name"), products)
     right = coded.join(found, F.col("id") == F.col("item_id")).select((F.col("list_code") == F.col("nupco_code")).alias("ok")).collect()
-    assert len(right) > 4000 and sum(r["ok"] for r in right) / len(right) > 0.999
+    assert len(right) > 2000 and sum(r["ok"] for r in right) / len(right) > 0.999
 
 
 def test_typos_find_their_name():
