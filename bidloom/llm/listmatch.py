@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -44,10 +45,15 @@ def skeleton(word: str) -> str:
     return word[:1] + re.sub("[AEIOU]", "", word[1:])
 
 
-def lacks_vowels(word: str, name: str) -> bool:
-    """Whether word is name without some of its vowels."""
+def lacks_letters(word: str, name: str) -> bool:
+    """Whether word is name without some letters behind the first."""
     rest = iter(name)
-    return skeleton(word) == skeleton(name) and all(letter in rest for letter in word)
+    return word[:1] == name[:1] and all(letter in rest for letter in word)
+
+
+def stem(word: str, name: str) -> str:
+    """The letters with which both begin."""
+    return os.path.commonprefix([word, name])
 
 
 @dataclass
@@ -57,6 +63,7 @@ class Vocabulary:
     forms: tuple[str, ...]
     spellings: dict[str, str] = field(default_factory=dict)
     noise: frozenset[str] = frozenset()
+    names: tuple[str, ...] = ()
 
     def __post_init__(self):
         known: dict[str, str] = {}
@@ -71,11 +78,22 @@ class Vocabulary:
         self.known = known | self.spellings
 
     def short_form(self, word: str) -> str | None:
-        """The only form whose name begins with word, of three letters or more, or becomes it without some vowels."""
-        if len(word) < 3:
+        """The only form that a word of three letters or more abbreviates or inflects, by the first rule that any form's name meets: it
+        becomes the word without vowels; it begins with it; it becomes it without other letters; both share a stem of four letters, half of
+        the longer. What a substance begins or ends with is none."""
+        word = word.removesuffix("S") if len(word) > 3 else word
+        if len(word) < 3 or any(name.startswith(word) or name.endswith(word) for name in self.names):
             return None
-        fits = {form for name, form in self.known.items() if name.startswith(word) or lacks_vowels(word, name)}
-        return fits.pop() if len(fits) == 1 else None
+        rules = (
+            lambda name: skeleton(word) == skeleton(name) and lacks_letters(word, name),
+            lambda name: name.startswith(word),
+            lambda name: lacks_letters(word, name),
+            lambda name: len(stem(word, name)) >= max(4, max(len(word), len(name)) / 2),
+        )
+        for rule in rules:
+            if fits := {form for name, form in self.known.items() if rule(name)}:
+                return fits.pop() if len(fits) == 1 else None
+        return None
 
     def parse(self, text: str) -> tuple[str, tuple[str, float] | None, str | None]:
         """(substance letters, strength, dosage form) of a product text.
@@ -244,7 +262,7 @@ def match_products(items: DataFrame, products: DataFrame, id_column: str = "id",
     spark = items.sparkSession
     usable = spark.createDataFrame([(c,) for c in codes], "nupco_code string")
     spellings, noise = learned_words(items, spark.createDataFrame(list(taught.values()), "nupco_code string, name string, form string"))
-    words = Vocabulary(tuple({k[2] for k in entries}), spellings, noise)
+    words = Vocabulary(tuple({k[2] for k in entries}), spellings, noise, tuple(names))
     open_items = (
         items.select(id_column, "nupco_code", "description", "generic_name").where(F.col(id_column).isNotNull())
         .join(F.broadcast(usable), "nupco_code", "left_anti").select(F.col(id_column).cast("long").alias("item_id"), "description", "generic_name")
