@@ -23,16 +23,19 @@ def words_of(text: str) -> list[str]:
     return [w for w in _GAP.split(text.lower()) if w]
 
 
-def myers_distance(pattern: str, text: str) -> int:
-    """Edit distance of two strings by the bit-parallel algorithm of Myers (in Hyyro's form for whole strings)."""
+def myers_distance(pattern: str, text: str, anywhere: bool = False) -> int:
+    """Edit distance of two strings by the bit-parallel algorithm of Myers; with `anywhere` that of pattern from the nearest stretch of text."""
     m = len(pattern)
     if not m:
-        return len(text)
+        return 0 if anywhere else len(text)
     peq: dict[str, int] = defaultdict(int)
     for i, ch in enumerate(pattern):
         peq[ch] |= 1 << i
     full, high = (1 << m) - 1, 1 << (m - 1)
     pv, mv, score = full, 0, m
+    best = m
+    # The row above the first: it grows along the text for whole strings, and is 0 throughout where a match may begin anywhere.
+    carry = 0 if anywhere else 1
     for ch in text:
         eq = peq.get(ch, 0)
         xv = eq | mv
@@ -42,16 +45,17 @@ def myers_distance(pattern: str, text: str) -> int:
             score += 1
         elif mh & high:
             score -= 1
-        ph, mh = ((ph << 1) | 1) & full, (mh << 1) & full
+        best = min(best, score)
+        ph, mh = ((ph << 1) | carry) & full, (mh << 1) & full
         pv, mv = mh | (~(xv | ph) & full), ph & xv
-    return score
+    return best if anywhere else score
 
 
 class Passages:
     """The windows of `run` words of each test item, cut into pieces of which each holds budget + 1, with one automaton for all pieces.
 
-    If a stretch of a document differs from a window by at most `budget` changed words, one of budget + 1 disjoint pieces of the window
-    stands in it unchanged. Windows of one item share their pieces, the aligned blocks of w words. A window may begin between two blocks
+    If a stretch of a document differs from a window by at most `budget` words changed, put in or left out, one of budget + 1 disjoint pieces of
+    the window stands in it unchanged. Windows of one item share their pieces, the aligned blocks of w words. A window may begin between two blocks
     and then loses up to w - 1 words before the first whole one, so w is (run + 1) // (budget + 2): (run - (w - 1)) // w >= budget + 1.
     """
 
@@ -108,16 +112,19 @@ class Passages:
         yield from ((i, r, d) for i, (r, d) in seen.items())
 
     def _nearest(self, own: list[str], words: list[str], piece_at: int, shift: int) -> int:
-        """The smallest Myers distance, in words, of a window that holds the piece from the words of the document at its place."""
+        """The smallest Myers distance, in words, of a window that holds the piece from any stretch of the document around its place.
+
+        Words put in or left out before or behind the piece move the ends of the stretch by `budget` at most, so those words are looked at as well.
+        """
         best = self.budget + 1
-        first = max(0, piece_at + self.size - self.run)
-        for s in range(first, min(piece_at, len(own) - self.run) + 1):
-            if s + shift < 0:
-                continue
-            window, there = own[s : s + self.run], words[s + shift : s + shift + self.run]
-            codes: dict[str, str] = {}
-            code = lambda w: codes.setdefault(w, chr(0x100 + len(codes)))
-            best = min(best, myers_distance("".join(map(code, window)), "".join(map(code, there))))
+        first, last = max(0, piece_at + self.size - self.run), min(piece_at, len(own) - self.run)
+        codes: dict[str, str] = {}
+        code = lambda some: "".join(codes.setdefault(w, chr(0x100 + len(codes))) for w in some)
+        begin = max(0, first + shift - self.budget)
+        there = code(words[begin : last + self.run + shift + self.budget])
+        for s in range(first, last + 1):
+            lo = max(0, s + shift - self.budget - begin)
+            best = min(best, myers_distance(code(own[s : s + self.run]), there[lo : s + self.run + shift + self.budget - begin], anywhere=True))
             if best == 0:
                 break
         return best
@@ -125,7 +132,7 @@ class Passages:
 
 def leaked_items(documents: DataFrame, items: DataFrame, run: int = 13, budget: int = 1) -> DataFrame:
     """(doc_id, item_id, longest_run, distance): documents that hold a passage of at least `run` words of a test item, up to `budget`
-    changed words, with the longest run of equal words and the smallest distance found.
+    words changed, put in or left out, with the longest run of equal words and the smallest distance found.
 
     The test items are a stated query set: they are read in blocks of 20,000 and each block's automaton passes over the whole corpus
     once; documents are never shuffled before the hits. Null and empty texts leak nothing, items of fewer than `run`

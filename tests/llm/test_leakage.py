@@ -73,15 +73,55 @@ def test_one_changed_word_is_within_the_budget(spark):
 
 
 @pytest.mark.parametrize("words", [13, 14, 19, 20, 27])
-def test_a_changed_word_is_found_at_every_place(words):
-    """Every window of the item, alone in a document with any one of its words changed, against the window itself."""
+def test_an_edit_is_found_at_every_place(words):
+    """Every window of the item, alone in a document with any one word changed, left out or put in, against the window itself."""
     item = WORDS[:words]
     passages = leakage.Passages([(1, " ".join(item))])
     for s in range(words - 12):
         for k in range(13):
             window = item[s : s + 13]
-            window[k] = "other"
-            assert list(passages.leaks(" ".join(["x", *window, "y"]))) == [(1, max(k, 12 - k), 1)], (s, k)
+            for edited in ([*window[:k], "other", *window[k + 1 :]], [*window[:k], *window[k + 1 :]], [*window[:k], "other", *window[k:]]):
+                ((leaked, run, distance),) = passages.leaks(" ".join(["x", *edited, "y"]))
+                # A word put in before the first is none of the passage.
+                assert (leaked, distance) == (1, 0 if len(edited) == 14 and k == 0 else 1), (s, k, edited)
+                assert run >= max(k, 12 - k)
+
+
+def near(own, words, run=13, budget=1):
+    """Smallest edit distance, in words, of any window of own from any stretch of words, by dynamic programming; None above the budget."""
+    best = budget + 1
+    for s in range(len(own) - run + 1):
+        row = [0] * (len(words) + 1)
+        for i, x in enumerate(own[s : s + run], 1):
+            new = [i]
+            for j, y in enumerate(words, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        best = min(best, *row)
+    return best if best <= budget else None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_near_passages_equal_brute_force(spark, seed):
+    """Documents with passages under several edits, of few different words, so that pieces also meet where no passage is."""
+    rnd = random.Random(seed)
+    words = WORDS[: (12 if seed % 2 else 60)]
+    items = [(i, " ".join(rnd.choices(words, k=rnd.randint(11, 26)))) for i in range(12)]
+    docs = []
+    for d in range(80):
+        body = rnd.choices(words, k=rnd.randint(0, 40))
+        w = items[rnd.randrange(12)][1].split()
+        k = rnd.randint(0, max(0, len(w) - 12))
+        piece = w[k : k + rnd.randint(12, 20)]
+        for _ in range(rnd.randint(0, 2)):
+            at = rnd.randrange(len(piece))
+            piece[at : at + rnd.randint(0, 1)] = rnd.choice([[], ["near"], [rnd.choice(words)]])
+        at = rnd.randint(0, len(body))
+        body[at:at] = piece
+        docs.append((d, " ".join(body)))
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in leakage.leaked_items(*frames(spark, docs, items)).collect()}
+    brute = {(d, i): n for d, t in docs for i, u in items if (n := near(u.split(), t.split())) is not None}
+    assert got == brute and len(brute) > 20
 
 
 def test_as_many_changed_words_as_the_budget():
@@ -104,3 +144,15 @@ def test_myers_distance(a, b):
             new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
         row = new
     assert leakage.myers_distance(a, b) == row[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcd", max_size=20), st.text("abcd", max_size=40))
+def test_myers_distance_from_the_nearest_stretch(a, b):
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    assert leakage.myers_distance(a, b, anywhere=True) == min(row)
