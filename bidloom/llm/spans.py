@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidloom.session import cut
+from bidloom.skew import skew_safe_lookup
 
 #: Characters of an anchor. Shorter ones recur by chance in formulaic texts, the more the larger the corpus; longer ones are more.
 ANCHOR = 112
@@ -22,8 +24,8 @@ BLOCK = 1_000_000
 #: Occurrences that one automaton serves, about.
 SHARD = 4_000
 
-#: Occurrences from which an anchor's places are compared by counting instead of in one task.
-HOT = 5_000
+#: Places that one key may hold in a shard; keys with more are split by further characters.
+FITS = 5_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -124,9 +126,10 @@ def anchor_rows(documents: DataFrame, least: int) -> DataFrame:
 
 
 def stretch_rows(documents: DataFrame, places: DataFrame, least: int) -> DataFrame:
-    """(anchor, hot, doc_id, first, stretch): the text around every given place that spans over its anchor can reach.
+    """(key, hot, doc_id, firsts, at, stretch): the text around every given place that spans over its anchor can reach, with the place of the
+    anchor in it.
 
-    places has (doc_id, places: array of (anchor, place, hot)).
+    places has (doc_id, places: array of (anchor, place, hot)); anchors become keys.
     """
     reach = least - anchor_length(least)
 
@@ -136,10 +139,10 @@ def stretch_rows(documents: DataFrame, places: DataFrame, least: int) -> DataFra
             for doc, text, own in zip(pdf["doc_id"], pdf["text"], pdf["places"]):
                 for p in own:
                     first = max(0, p["place"] - reach)
-                    rows.append((p["anchor"], p["hot"], doc, first, text[first : p["place"] + least]))
-            yield pd.DataFrame(rows, columns=["anchor", "hot", "doc_id", "first", "stretch"])
+                    rows.append((p["anchor"], p["hot"], doc, [first], p["place"] - first, text[first : p["place"] + least]))
+            yield pd.DataFrame(rows, columns=["key", "hot", "doc_id", "firsts", "at", "stretch"])
 
-    return documents.join(places, "doc_id").mapInPandas(carve, "anchor long, hot boolean, doc_id long, first int, stretch string")
+    return documents.join(places, "doc_id").mapInPandas(carve, "key long, hot boolean, doc_id long, firsts array<int>, at int, stretch string")
 
 
 def _windows(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,8 +177,8 @@ def recurring_passages(docs: np.ndarray, texts: list[str], least: int) -> set[st
     return {texts[w][p : p + least] for w, p in zip(who[ends], place[ends])}
 
 
-def locate(docs: np.ndarray, firsts: np.ndarray, texts: list[str], passages: set[str], least: int) -> list[tuple[int, int, int]]:
-    """(document, from, to) of every occurrence, in any text, of a passage that stands in two documents."""
+def locate(docs: np.ndarray, firsts: list, texts: list[str], passages: set[str], least: int) -> list[tuple[int, int, int]]:
+    """(document, from, to) of every occurrence, in any text, of a passage that stands in two documents. A text stands at all its firsts."""
     if not passages:
         return []
     automaton = ahocorasick.Automaton()
@@ -183,56 +186,93 @@ def locate(docs: np.ndarray, firsts: np.ndarray, texts: list[str], passages: set
         automaton.add_word(p, k)
     automaton.make_automaton()
     places, homes = [], defaultdict(set)
-    for doc, first, text in zip(docs.tolist(), firsts.tolist(), texts):
+    for doc, own, text in zip(docs.tolist(), firsts, texts):
         for end, k in automaton.iter(text):
-            places.append((doc, first + end + 1 - least, k))
+            places.extend((doc, first + end + 1 - least, k) for first in own)
             homes[k].add(doc)
     return [(doc, lo, lo + least) for doc, lo, k in places if len(homes[k]) > 1]
 
 
 def shard_spans(stretches: DataFrame, least: int) -> DataFrame:
-    """(doc_id, lo, hi): shared spans among the places of each anchor. Shards are runs of whole anchors with about SHARD places;
+    """(doc_id, lo, hi): shared spans among the stretches of each key. Shards are runs of whole keys with about SHARD stretches;
     each confirms its recurring passages, compiles them into an automaton and sends the shard's texts through it."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[tuple] = []
 
-        def flush(upto: int) -> pd.DataFrame:
-            rows, kept[:] = kept[:upto], kept[upto:]
-            docs, firsts = (np.fromiter((r[k] for r in rows), np.int64, len(rows)) for k in (1, 2))
-            texts = [r[3] for r in rows]
-            return pd.DataFrame(locate(docs, firsts, texts, recurring_passages(docs, texts, least), least), columns=["doc_id", "lo", "hi"]).drop_duplicates()
+        def flush() -> pd.DataFrame:
+            docs = np.fromiter((r[1] for r in kept), np.int64, len(kept))
+            texts = [r[3] for r in kept]
+            spans = locate(docs, [r[2] for r in kept], texts, recurring_passages(docs, texts, least), least)
+            kept.clear()
+            return pd.DataFrame(spans, columns=["doc_id", "lo", "hi"]).drop_duplicates()
 
         for pdf in batches:
-            for row in zip(pdf["anchor"], pdf["doc_id"], pdf["first"], pdf["stretch"]):
+            for row in zip(pdf["key"], pdf["doc_id"], pdf["firsts"], pdf["stretch"]):
                 if len(kept) >= SHARD and row[0] != kept[-1][0]:
-                    yield flush(len(kept))
+                    yield flush()
                 kept.append(row)
         if kept:
-            yield flush(len(kept))
+            yield flush()
 
-    cold = stretches.where(~F.col("hot")).repartition("anchor").sortWithinPartitions("anchor")
-    return cold.select("anchor", "doc_id", "first", "stretch").mapInPandas(search, "doc_id long, lo int, hi int")
+    sharded = stretches.select("key", "doc_id", "firsts", "stretch").repartition("key").sortWithinPartitions("key")
+    return sharded.mapInPandas(search, "doc_id long, lo int, hi int")
 
 
-def counted_spans(stretches: DataFrame, least: int) -> DataFrame:
-    """(doc_id, lo, hi): shared spans among the places of frequent anchors, without gathering them.
+def collapsed(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(spans, standing): the spans of documents whose stretch under a key is also another document's, and the rows that stand for each stretch.
 
-    Every window is a row; windows meet by hash in an aggregation that combines on the map side and keeps the smallest and largest
-    document only. The join back is an inner join, whose hot sides adaptive execution splits.
+    Documents with equal stretches share them whole. Two of them are enough to confirm what others share with them, so a stretch that any number
+    of documents have goes on as two rows without places; a stretch of one document goes on with all its places.
     """
+    key = ["key", "lo", "hi", "at", "stretch"]
+    own = stretches.groupBy(*key, "doc_id").agg(F.array_distinct(F.flatten(F.collect_set("firsts"))).alias("firsts"))
+    classes = cut(own.groupBy(*key).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n"), F.min_by("firsts", "doc_id").alias("alone")))
+    twin = F.col("a") != F.col("b")
+    several = classes.where(twin).select("key", "at", "stretch", "n")
+    places = skew_safe_lookup(own, several, ["key", "at", "stretch"], "doc_id", "n").select("doc_id", F.explode("firsts").alias("lo"), F.length("stretch").alias("size"))
+    standing = classes.select(
+        *key, F.explode(F.array_distinct(F.array("a", "b"))).alias("doc_id"), F.when(~twin, F.col("alone")).otherwise(F.array().cast("array<int>")).alias("firsts"),
+    )
+    return places.select("doc_id", "lo", (F.col("lo") + F.col("size")).alias("hi")), standing
 
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 1000):
-                part = pdf.iloc[at : at + 1000]
-                who, place, g = _windows(part["stretch"].tolist(), least)
-                docs, firsts = part["doc_id"].to_numpy(np.int64), part["first"].to_numpy(np.int64)
-                yield pd.DataFrame({"gram": g.view(np.int64), "doc_id": docs[who], "lo": (firsts[who] + place).astype(np.int32)})
 
-    rows = stretches.where("hot").mapInPandas(explode, "gram long, doc_id long, lo int")
-    twice = rows.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where(F.col("a") != F.col("b")).select("gram")
-    return rows.join(twice, "gram").select("doc_id", "lo", (F.col("lo") + least).alias("hi"))
+def halves(standing: DataFrame, least: int) -> DataFrame:
+    """The stretches of keys under longer keys, for the lower and the upper half of lo..hi.
+
+    A window over an anchor takes i characters before it, lo <= i <= hi, and the rest of its `least` characters behind. Those with i in one half
+    all hold the characters next to the anchor up to the half's least reach on either side: these make the key. So two equal windows meet
+    under the key of their half, and a half of one i has the window itself for its key.
+    """
+    size = anchor_length(least)
+    span = least - size
+    c, mid = F.col, F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+    two = F.array(F.struct(c("lo").alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), c("hi").alias("hi")))
+    both = standing.where(c("lo") < c("hi")).withColumn("half", F.explode(two)).drop("lo", "hi").select("*", "half.lo", "half.hi")
+    fits = both.where((c("at") >= c("lo")) & (F.length("stretch") - c("at") - size >= span - c("hi")))
+    core = F.substring(c("stretch"), c("at") - c("lo") + 1, c("lo") + size + span - c("hi"))
+    left = F.greatest(F.lit(0), c("at") - c("hi"))
+    return fits.select(
+        F.xxhash64("key", "lo", "hi", core).alias("key"), "lo", "hi", "doc_id", F.transform("firsts", lambda f: f + left).alias("firsts"), (c("at") - left).alias("at"),
+        F.substring(c("stretch"), left + 1, c("at") - left + size + span - c("lo")).alias("stretch"),
+    )
+
+
+def hot_spans(hot: DataFrame, least: int, fits: int) -> Iterator[DataFrame]:
+    """(doc_id, lo, hi): shared spans among the stretches of keys with more than `fits` rows, level by level.
+
+    Equal stretches collapse; what stands for them is split by further characters, in halves, until a key fits into a shard and its stretches go
+    through the automaton. Keys that only one document has end. After at most log2(least) levels a key is a whole window, whose stretches are all equal.
+    """
+    rows = hot.withColumns({"lo": F.lit(0), "hi": F.lit(least - anchor_length(least))})
+    while not rows.isEmpty():
+        spans, standing = collapsed(rows)
+        part = cut(halves(standing, least))
+        sizes = cut(part.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).where(F.col("a") != F.col("b")).select("key", "n"))
+        kept = skew_safe_lookup(part, sizes, ["key"], "doc_id", "n")
+        yield spans
+        yield shard_spans(kept.where(F.col("n") <= fits), least)
+        rows = cut(kept.where(F.col("n") > fits).drop("n"))
 
 
 def covered(spans: Column) -> Column:
@@ -245,12 +285,13 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, add, lambda acc: acc["n"])
 
 
-def shared_spans(documents: DataFrame, least: int = 240, hot: int = HOT) -> DataFrame:
+def shared_spans(documents: DataFrame, least: int = 240, fits: int = FITS) -> DataFrame:
     """(doc_id, lo, hi): stretches of at least `least` characters that stand verbatim in another document.
 
     Anchors are chosen by content, so any two equal stretches have an equal one. Anchors of two or more documents are joined back to
     their places; the text around each place goes to its anchor's shard, where recurring passages are confirmed, compiled
-    into an automaton and located in every text of the shard. Anchors with more than `hot` places are counted by window instead.
+    into an automaton and located in every text of the shard. An anchor with more than `fits` places is split by the characters
+    around it until its parts fit (hot_spans), and these go the same way.
     Null, empty and short texts share nothing. Rows of one doc_id are one document, copies of a row change nothing; a stretch that
     a document repeats in itself only is not shared. Spans may overlap.
     """
@@ -258,17 +299,18 @@ def shared_spans(documents: DataFrame, least: int = 240, hot: int = HOT) -> Data
     found = anchor_rows(texts, least)
     recurring = cut(
         found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).where(F.col("a") != F.col("b"))
-        .select("anchor", (F.col("n") > hot).alias("hot")),
+        .select("anchor", (F.col("n") > fits).alias("hot")),
     )
     places = found.join(recurring, "anchor").groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "place", "hot")).alias("places"))
     stretches = stretch_rows(texts, places, least)
     if recurring.where("hot").isEmpty():
         return shard_spans(stretches, least)
     stretches = cut(stretches)
-    return shard_spans(stretches, least).unionByName(counted_spans(stretches, least))
+    parts = [shard_spans(stretches.where(~F.col("hot")), least), *hot_spans(stretches.where("hot").drop("hot"), least, fits)]
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
-def shared_characters(documents: DataFrame, least: int = 240, hot: int = HOT) -> DataFrame:
+def shared_characters(documents: DataFrame, least: int = 240, fits: int = FITS) -> DataFrame:
     """(doc_id, shared_chars): how many characters of each document stand in another one; only documents that share any."""
-    spans = shared_spans(documents, least, hot).groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    spans = shared_spans(documents, least, fits).groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     return spans.select("doc_id", covered(F.col("spans")).alias("shared_chars"))

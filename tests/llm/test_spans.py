@@ -48,10 +48,29 @@ def corpus(seed, n=60, clause_sizes=(239, 240, 241, 300, 500)):
     return docs
 
 
-@pytest.mark.parametrize(("seed", "hot"), [(0, spans.HOT), (1, spans.HOT), (2, 2), (3, 0)])
-def test_equals_brute_force(spark, seed, hot):
+@pytest.mark.parametrize(("seed", "fits"), [(0, spans.FITS), (1, spans.FITS), (2, 2), (3, 0), (4, 5)])
+def test_equals_brute_force(spark, seed, fits):
     docs = corpus(seed)
-    assert found(spark, docs, hot=hot) == brute(docs, 240)
+    assert found(spark, docs, fits=fits) == brute(docs, 240)
+
+
+def test_an_anchor_of_many_places(spark):
+    """A clause in more documents than a shard holds, between texts of their own, with near misses of it and some texts filed twice."""
+    rnd = random.Random(17)
+    text = lambda k: "".join(rnd.choices("abcdefghij klm", k=k))
+    clause, docs = text(260), []
+    for d in range(spans.FITS + 600):
+        body = clause
+        if d % 50 == 0:
+            at = rnd.randrange(260)
+            body = body[:at] + "#" + body[at + 1 :]
+        elif d % 7 == 0:
+            body = body[rnd.randrange(30) :]
+        elif d % 11 == 0:
+            body = body[: 260 - rnd.randrange(30)]
+        docs.append((d, text(rnd.randint(0, 12)) + body + text(rnd.randint(0, 12))))
+    docs += [(10_000 + d, t) for d, t in docs[:40]]
+    assert found(spark, docs) == brute(docs, 240)
 
 
 @pytest.mark.parametrize("least", [30, 64, 150])
