@@ -68,7 +68,7 @@ def first_number(text: Column) -> Column:
 
 def bracketed(text: Column) -> Column:
     """What stands in the first pair of square brackets, trimmed."""
-    return none_if_empty(F.regexp_extract(text, r"\[\s*([^\]]+?)\s*\]", 1))
+    return none_if_empty(F.trim(F.regexp_extract(text, r"\[([^\]]*[^\]\s][^\]]*)\]", 1)))
 
 
 def entity_code(text: Column) -> Column:

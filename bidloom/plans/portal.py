@@ -586,19 +586,28 @@ def text_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT l_orderkey AS page_id, COUNT(*) AS lines, ROUND(SUM(l_quantity), 2) AS quantity, ROUND(SUM(l_extendedprice), 2) AS total, COUNT(*) FILTER (WHERE l_quantity <> 0 AND l_extendedprice <> 0) AS with_cost,
-  CASE WHEN BOOL_OR(l_tax > 0) THEN 1 ELSE 0 END AS taxed FROM lineitem GROUP BY 1""")
+  CASE WHEN BOOL_OR(l_tax > 0) THEN 1 ELSE 0 END AS taxed, MIN('DRUG ' || l_partkey) AS first_name, ROUND(SUM(l_discount), 4) AS prices, MAX('M' || l_suppkey) AS last_maker,
+  COUNT(*) FILTER (WHERE l_returnflag = 'R') AS with_terms, COUNT(*) FILTER (WHERE l_linestatus = 'O') AS dinars FROM lineitem GROUP BY 1""")
 def award_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Orders written as award decision pages, then read."""
-    names = portal_html.AWARD_HEADER | portal_html.AWARD_SUPPLIER
-    pair = lambda f, v: f"<th>{names[f]}</th><td>{v}</td>"
-    head = "<table><tr>" + pair("award_no", "A1") + pair("award_status", "Final") + "</tr></table><table><tr>" + pair("supplier_no", "7") + pair("beneficiary", "[27] Clinic") + "</tr></table>"
-    cells = [F.col("l_linenumber").cast("string"), F.lit("51"), F.lit("08-03"), F.lit("30 tab"), F.lit(""), F.lit("0"), F.lit("0"), F.format_string("%.2f", "l_quantity"), F.format_string("%.2f JOD", "l_extendedprice"), F.lit("lowest")]
-    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), x, F.lit("</td>")) for x in cells], F.lit("</tr>"))
-    price = F.concat(F.lit(f"<tr><th>{portal_html.AWARD_ITEMS}</th><th>{portal_html.AWARD_PRICE} "), F.when(F.max((F.col("l_tax") > 0).cast("int")) == 1, "x").otherwise(portal_html.AWARD_NET), F.lit("</th></tr>"))
-    html = F.concat(F.lit(head + "<table>"), price, F.array_join(F.collect_list(row), ""), F.lit("</table>"))
-    pages = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(html.alias("html"))
+    """Orders written as award decision pages, all four rows of an item included, then read."""
+    cells = lambda *cs: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td class='c'>"), c, F.lit("</td>")) for c in cs], F.lit("</tr>\n"))
+    c, text = F.col, F.lit
+    head = (
+        "<h2>القرار</h2><table class='t'><tr><th>رقم قرار الإحالة</th><td>A1</td><th>حالة الإحالة</th><td>Final</td></tr><tr><th>الجهة المشترية</th><td>[1] Stores</td></tr></table>"
+        "<table><tr><th>رقم المناقص</th><td>7</td><th>الجهة المستفيدة</th><td>[27] Clinic</td></tr></table><table>"
+    )
+    total = F.concat(F.format_string("%.2f", "l_extendedprice"), F.when(c("l_linestatus") == "O", text(" JOD")).otherwise(text("")))
+    first = cells(c("l_linenumber").cast("string"), text("51"), text("08-03"), text("30 tab"), text(""), text("0"), text("0"), F.format_string("%.2f", "l_quantity"), total, text("<b>lowest</b>"))
+    offer = cells(text("offer"), F.concat(text("[ DRUG "), c("l_partkey").cast("string"), text(" ]")), text("R-1"), F.concat(F.format_string("%.4f", "l_discount"), text(" [ USD ]")))
+    maker = cells(F.concat(text("M"), c("l_suppkey").cast("string")), text("JO"), text("2 years"), text("&nbsp;"))
+    terms = F.when(c("l_returnflag") == "R", text("<tr><th colspan='2'>شروط خاصة</th><td>cold &amp; dry</td></tr>")).otherwise(text(""))
+    heading = F.when(F.max((c("l_tax") > 0).cast("int")) == 1, text("السعر النهائي")).otherwise(text("السعر النهائي غير شامل الضريبة"))
+    html = F.concat(text(head + "<tr><th>م</th><th>رمز UNSPSC</th><th>"), heading, text("</th></tr>"), F.array_join(F.collect_list(F.concat(first, offer, maker, terms)), ""), text("</table>"))
+    pages = table(spark, d, "lineitem").groupBy(c("l_orderkey").alias("page_id")).agg(html.alias("html"))
     return portal_html.award_rows(pages).groupBy("page_id").agg(
         F.count(F.lit(1)).alias("lines"), F.round(F.sum("awarded_qty"), 2).alias("quantity"), F.round(F.sum("total_value"), 2).alias("total"), F.count("unit_cost").alias("with_cost"), F.max("price_incl_tax").alias("taxed"),
+        F.min("scientific_name").alias("first_name"), F.round(F.sum("unit_price"), 4).alias("prices"), F.max("manufacturer").alias("last_maker"), F.count_if(c("conditions") == "cold & dry").alias("with_terms"),
+        F.count_if(c("currency") == "JOD").alias("dinars"),
     )
 
 
