@@ -31,7 +31,7 @@ _DATES = (
     r"(?<y2>[0-9]{4})[/.-](?<m2>[0-9]{1,2})[/.-](?<d2>[0-9]{1,2})",
     r"(?<d3>[0-9]{1,2})[\s-]+(?<n3>" + "|".join(MONTHS) + r")[a-z]*\.?,?[\s-]+(?<y3>[0-9]{4})",
 )
-PATTERN = r"(?is)^\s*(?:(?<unix>[0-9]{5,18})|" + _DAY_NAME + "(?:" + "|".join(_DATES) + ")" + _CLOCK + _ZONE + r")\s*$"
+PATTERN = r"(?is)^\s*(?:(?<unix>[0-9]+)|" + _DAY_NAME + "(?:" + "|".join(_DATES) + ")" + _CLOCK + _ZONE + r")\s*$"
 _FIELDS = ("unix", "y", "m", "name", "d", "hh", "mi", "ss", "half", "utc", "sign", "oh", "om", "region", "city")
 #: One replacement writes all components, parted by '|'; a group that took no part writes nothing.
 _TEMPLATE = "|".join(["${unix}", "${y1}${y2}${y3}", "${m1}${m2}", "${n3}", "${d1}${d2}${d3}", *("${%s}" % f for f in _FIELDS[5:])])
@@ -40,7 +40,9 @@ _TEMPLATE = "|".join(["${unix}", "${y1}${y2}${y3}", "${m1}${m2}", "${n3}", "${d1
 def _zones() -> tuple[str, ...]:
     """Region names of the IANA database that both this Python and a JVM know."""
     names = sorted(z for z in zoneinfo.available_timezones() if "/" in z and not z.startswith(("posix/", "right/", "Etc/", "SystemV/")))
-    return tuple(names) or tuple(sorted({*NAMED_ZONES.values(), *SOURCE_ZONES.values(), "Europe/Berlin", "America/New_York"}))
+    if not names:
+        raise RuntimeError("no time zone database: named regions could not be read")
+    return tuple(names)
 
 
 def days_from_civil(y: Column, m: Column, d: Column) -> Column:
@@ -65,8 +67,8 @@ def utc_instant(text: Column, source: Column) -> Column:
     One regular expression with named groups covers all formats; its groups are taken out once per text. Ranges are checked by the
     calendar, the wall clock is put together with integer day arithmetic, and offsets are subtracted. A named region, or the
     source's own zone where the text states none, follows the IANA history: a time that occurs twice is the earlier instant, a skipped
-    one moves forward by the gap. Null, empty, very long or unreadable texts, unknown regions and texts of an unknown source without a
-    stated zone give null. Digits alone are Unix time in seconds (up to 11 digits), milliseconds (to 14), microseconds (to 17).
+    one moves forward by the gap. Null, empty or unreadable texts of any length, unknown regions and texts of an unknown source without a
+    stated zone give null. Digits alone are Unix time in seconds (up to 11 digits), milliseconds (to 14), microseconds (to 17), nanoseconds (what fits into 64 bits).
     """
     pairs = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
     by_name, named, by_source = pairs({z.lower(): z for z in _zones()}), pairs(NAMED_ZONES), pairs(SOURCE_ZONES)
@@ -100,7 +102,7 @@ def utc_instant(text: Column, source: Column) -> Column:
         digits = F.length(c["unix"])
         unit = F.when(digits <= 11, F.lit(1)).when(digits <= 14, F.lit(1_000)).when(digits <= 17, F.lit(1_000_000)).otherwise(F.lit(1_000_000_000))
         in_zone = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(c["wall"]), c["zone"]))
-        return F.when(c["unix"].isNotNull(), F.floor(c["unix"].cast("long") / unit)).when(c["fixed"], c["wall"] - c["offset"]).otherwise(in_zone).cast("long")
+        return F.when(c["unix"].isNotNull(), F.floor(c["unix"].try_cast("long") / unit)).when(c["fixed"], c["wall"] - c["offset"]).otherwise(in_zone).cast("long")
 
     def stamp(s: Column) -> Column:
         rest = F.pmod(s, F.lit(86400))
@@ -108,11 +110,15 @@ def utc_instant(text: Column, source: Column) -> Column:
         day = F.date_from_unix_date(F.floor(s / 86400).cast("int")).cast("string")
         return F.when(s.isNotNull(), F.concat(day, F.lit("T"), clock, F.lit("Z")))
 
-    def read(clean: Column) -> Column:
-        return F.when(clean.rlike(PATTERN), F.split(F.regexp_replace(clean, PATTERN, _TEMPLATE), r"\|"))
+    def matched(clean: Column) -> Column:
+        return F.struct(clean.alias("was"), F.regexp_replace(clean, PATTERN, _TEMPLATE).alias("now"))
 
-    clean = F.when(F.length(text) <= 80, F.lower(F.trim(ascii_digits(text))))
-    return _let(_let(_let(_let(_let(clean, read), components), wall_clock), epoch), stamp)
+    def read(c: Column) -> Column:
+        # A text that matches becomes another one, with its parts between bars; any other text stays.
+        return F.when(c["was"] != c["now"], F.split(c["now"], r"\|"))
+
+    clean = F.lower(F.trim(ascii_digits(text)))
+    return _let(_let(_let(_let(_let(_let(clean, matched), read), components), wall_clock), epoch), stamp)
 
 
 def field_instants(tenders: DataFrame, fields: tuple[str, ...] = ("opening_date", "submission_deadline", "bid_opening")) -> DataFrame:

@@ -28,9 +28,12 @@ def current_items(items: DataFrame, attachments: DataFrame, tenders: DataFrame)
     """Items of current files with their tender: (id, post_id, tender_id, nupco_code, description, uom, qty, category_guess, is_accessory, attachment_id, filename, title_en, status_label,
     submission_ts, opening_ts, country). Redelivered rows count once; rows without a tender or current file are left out.
     """
-    own = items.select("id", "attachment_id", "post_id", "nupco_code", "description", "uom", "qty", F.col("category_guess").alias("item_category"), "is_accessory").dropDuplicates(["id"])
+    files = current_files(attachments)
+    own = items.select("id", "attachment_id", "post_id", "nupco_code", "description", "uom", "qty", F.col("category_guess").alias("item_category"), "is_accessory")
+    # Lines of retired files go before the widest step, the one that tells redelivered rows.
+    own = own.join(files.select("attachment_id"), "attachment_id", "left_semi").dropDuplicates(["id"])
     heads = tenders.select("post_id", "tender_id", "title_en", "status_label", "submission_ts", "opening_ts", country_of().alias("country"))
-    return own.join(current_files(attachments), "attachment_id").join(heads, "post_id").select(
+    return own.join(files, "attachment_id").join(heads, "post_id").select(
         "id", "post_id", "tender_id", "nupco_code", "description", "uom", "qty", F.col("item_category").alias("category_guess"), "is_accessory", "attachment_id", "filename", "title_en",
         "status_label", "submission_ts", "opening_ts", "country",
     )
@@ -100,15 +103,19 @@ def source_totals(tenders: DataFrame, items: DataFrame, attachments: DataFrame)
 def group_summary(rows: DataFrame, key: Column, value: Column, names: Column, amount: Column, flag: Column, at: Column, top: int | None = 100) -> DataFrame:
     """Per key: lines, smallest, exact median and largest value, the sorted distinct names, the sum of amounts, how many lines have the flag 1, 0 and none, and the latest date.
 
-    Nulls of value, names and amount count for nothing. The report shows the `top` keys with the most lines, ties by key.
+    Nulls of value, names and amount count for nothing. The report shows the `top` keys with the most lines, ties by key: these are
+    found by a count first, so that medians and names are computed for them only.
     The median is exact: the mean of the middle two.
     """
-    out = rows.select(key.alias("key"), value.alias("v"), names.alias("nm"), amount.alias("am"), flag.alias("fl"), at.alias("at")).where(F.col("key").isNotNull()).groupBy("key").agg(
+    own = rows.select(key.alias("key"), value.alias("v"), names.alias("nm"), amount.alias("am"), flag.alias("fl"), at.alias("at")).where(F.col("key").isNotNull())
+    if top is not None:
+        largest = rows.select(key.alias("key")).where(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "key").limit(top)
+        own = own.join(F.broadcast(largest.select("key")), "key", "left_semi")
+    return own.groupBy("key").agg(
         F.count(F.lit(1)).alias("lines"), F.min("v").alias("min_value"), F.median("v").alias("median_value"), F.max("v").alias("max_value"),
         F.array_join(F.array_sort(F.collect_set("nm")), ",").alias("names"), F.sum(F.coalesce("am", F.lit(0.0))).alias("amount"),
         F.count_if(F.col("fl") == 1).alias("flagged"), F.count_if(F.col("fl") == 0).alias("unflagged"), F.count_if(F.col("fl").isNull()).alias("unknown"), F.max("at").alias("latest"),
-    )
-    return out.orderBy(F.desc("lines"), "key").limit(top) if top is not None else out
+    ).orderBy(F.desc("lines"), "key")
 
 
 #: Sort orders by name: columns with their direction; nulls always go last and the key settles ties.

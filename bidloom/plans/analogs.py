@@ -15,9 +15,9 @@ _LINES = """(SELECT l.*, p.p_name, p.p_brand, p.p_partkey AS product, s.s_name,
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    lines, part, supplier, orders = (table(spark, d, n) for n in ("lineitem", "part", "supplier", "orders"))
+    lines, part, supplier = (table(spark, d, n) for n in ("lineitem", "part", "supplier"))
     joined = lines.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey").join(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
-    return joined.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey", "left").withColumn("product", F.col("l_partkey"))
+    return joined.withColumn("product", F.col("l_partkey"))
 
 
 def product_price_summary(spark: SparkSession, d: str) -> DataFrame:

@@ -26,24 +26,23 @@ def with_slices(rows: DataFrame, keys: list[str], order: str, tie: str, raw: Dat
     """(rows with slice_no, whether any key is sliced): 0 for ordinary keys; for hot keys a number that grows with (order, tie) so that a key's rows spread over
     `slices` groups.
 
-    order and tie are numeric columns. A hot key whose rows share one `order` is sliced by `tie`. Hot keys are looked for in raw, which has the same columns and
+    order and tie are numeric columns. Slices end at quantiles of the key's rows, so an outlier moves none of them; where one `order` fills several
+    slices, its rows are dealt to these by the quantiles of `tie`, null ties to the first. Hot keys are looked for in raw, which has the same columns and
     may hold rows more than once, so that finding them repeats no work that rows cost; without any, rows just get the number 0.
     """
     raw = rows if raw is None else raw
-    hot = hot_keys(
-        raw, keys, F.min(order).alias("lo_order"), F.max(order).alias("hi_order"), F.min(tie).alias("lo_tie"), F.max(tie).alias("hi_tie"), least=least,
-    )
+    hot = hot_keys(raw, keys, least=least).select(*keys)
     if hot.isEmpty():
         return rows.withColumn("slice_no", F.lit(0)), False
-
-    def part(x: Column, lo: Column, hi: Column) -> Column:
-        return F.floor((x - lo).cast("double") / (hi - lo + 1).cast("double") * slices)
-
-    joined = rows.join(F.broadcast(hot), keys, "left")
-    number = F.when(F.col("key_rows").isNull(), F.lit(0)).when(
-        F.col("hi_order") > F.col("lo_order"), part(F.col(order), F.col("lo_order"), F.col("hi_order")),
-    ).otherwise(part(F.col(tie), F.col("lo_tie"), F.col("hi_tie")))
-    return joined.withColumn("slice_no", F.coalesce(number, F.lit(0)).cast("int")).drop("key_rows", "lo_order", "hi_order", "lo_tie", "hi_tie"), True
+    cuts = F.array(*[F.lit(k / slices) for k in range(1, slices)])
+    own = raw.join(F.broadcast(hot), keys)
+    bounds = own.groupBy(*keys).agg(F.percentile_approx(order, cuts).alias("order_cuts"), F.percentile_approx(tie, cuts).alias("tie_cuts"))
+    joined = rows.join(F.broadcast(bounds), keys, "left")
+    below = lambda name, x: F.size(F.filter(name, lambda b: b < x))
+    same = F.size(F.filter("order_cuts", lambda b: b == F.col(order)))
+    part = F.when(same > 0, F.floor(F.coalesce(below("tie_cuts", F.col(tie)), F.lit(0)) * same / slices)).otherwise(0)
+    number = F.when(F.col("order_cuts").isNull(), 0).otherwise(below("order_cuts", F.col(order)) + part)
+    return joined.withColumn("slice_no", F.coalesce(number, F.lit(0)).cast("int")).drop("order_cuts", "tie_cuts"), True
 
 
 def skew_safe_lookup(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, size: str, rows_per_part: int = 100_000) -> DataFrame:

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from bidloom.functions import classify
 from bidloom.functions import scalars as X
 
-#: Rows of a sheet that are read, rows in which the header may stand, rows from which a missing description column is guessed.
-MOST_ROWS, HEADER_ROWS, SNIFF_ROWS = 300_000, 40, 25
+#: Rows of a sheet in which the header may stand, rows from which a missing description column is guessed.
+HEADER_ROWS, SNIFF_ROWS = 40, 25
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1256", "latin-1")
 
 # Labels of columns by field; earlier ones go first where a longer label holds several.
@@ -147,8 +147,7 @@ def file_rows(files: DataFrame) -> DataFrame:
                     if kind not in ("text", "xlsx"):
                         raise ValueError(f"no reader for {kind or 'unknown'} files")
                     for sheet, n, row in (_text_rows if kind == "text" else _workbook_rows)(bytes(content)):
-                        if n < MOST_ROWS:
-                            out.append((file_id, sheet, n, [None if c is None else str(c) for c in row], None))
+                        out.append((file_id, sheet, n, [None if c is None else str(c) for c in row], None))
                         if len(out) >= 10_000:
                             yield pd.DataFrame(out, columns=["file_id", "sheet", "row_index", "cells", "error"])
                             out = []
