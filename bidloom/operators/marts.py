@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COUNTRIES = ("SA", "JO")
@@ -26,16 +26,16 @@ def current_files(attachments: DataFrame) -> DataFrame:
 
 def current_items(items: DataFrame, attachments: DataFrame, tenders: DataFrame) -> DataFrame:
     """Items of current files with their tender: (id, post_id, tender_id, nupco_code, description, uom, qty, category_guess, is_accessory, attachment_id, filename, title_en, status_label,
-    submission_ts, opening_ts, country). Redelivered rows count once; rows without a tender or current file are left out.
+    submission_ts, opening_ts, country, is_terminal, days_to_deadline). Redelivered rows count once; rows without a tender or current file are left out.
     """
     files = current_files(attachments)
     own = items.select("id", "attachment_id", "post_id", "nupco_code", "description", "uom", "qty", F.col("category_guess").alias("item_category"), "is_accessory")
     # Lines of retired files go before the widest step, the one that tells redelivered rows.
     own = own.join(files.select("attachment_id"), "attachment_id", "left_semi").dropDuplicates(["id"])
-    heads = tenders.select("post_id", "tender_id", "title_en", "status_label", "submission_ts", "opening_ts", country_of().alias("country"))
+    heads = tenders.select("post_id", "tender_id", "title_en", "status_label", "submission_ts", "opening_ts", country_of().alias("country"), "is_terminal", "days_to_deadline")
     return own.join(files, "attachment_id").join(heads, "post_id").select(
         "id", "post_id", "tender_id", "nupco_code", "description", "uom", "qty", F.col("item_category").alias("category_guess"), "is_accessory", "attachment_id", "filename", "title_en",
-        "status_label", "submission_ts", "opening_ts", "country",
+        "status_label", "submission_ts", "opening_ts", "country", "is_terminal", "days_to_deadline",
     )
 
 
@@ -127,6 +127,10 @@ CATALOGUE_SORTS = {
     "deadline_asc": (("latest_deadline", True),), "deadline_desc": (("latest_deadline", False),), "opening_desc": (("latest_deadline", False),), "opening_asc": (("latest_deadline", True),),
     "qty_desc": (("total_qty", False),), "relevance": (("tender_count", False), ("total_qty", False)),
 }
+#: The orders of awarded lines.
+AWARD_SORTS = {
+    "date_desc": (("published_at", False),), "date_asc": (("published_at", True),), "cost_asc": (("unit_cost", True),), "cost_desc": (("unit_cost", False),), "value_desc": (("total_value", False),),
+}
 
 
 def page(rows: DataFrame, order: tuple[tuple[str, bool], ...], tie: str, limit: int, offset: int = 0, most: int = 500) -> DataFrame:
@@ -135,6 +139,50 @@ def page(rows: DataFrame, order: tuple[tuple[str, bool], ...], tie: str, limit:
     return rows.orderBy(*by, tie).offset(max(0, offset)).limit(max(0, min(limit, most)))
 
 
+def counted_page(rows: DataFrame, order: tuple[tuple[str, bool], ...], tie: str, limit: int, offset: int = 0, most: int = 500) -> DataFrame:
+    """page, with the number of all rows as `total`, one scalar subquery. A page behind the last row is empty."""
+    return page(rows.withColumn("total", rows.agg(F.count(F.lit(1)).alias("n")).scalar()), order, tie, limit, offset, most)
+
+
+def search_page(rows: DataFrame, scores: DataFrame | None, key: str, sort: str = "relevance", limit: int = 50, offset: int = 0, then: tuple[tuple[str, bool], ...] = (), **filters) -> DataFrame:
+    """One page of a search as users call it: words, filters, order and total together.
+
+    scores: (key, score) of the rows that the words match, or None where none are given; then score is null. By relevance a search is ordered by score,
+    then by `then`; without words or for an unknown order by the default.
+    """
+    found = filtered(rows, **filters)
+    found = found.withColumn("score", F.lit(None).cast("double")) if scores is None else found.join(scores.select(key, F.round("score", 6).alias("score")), key)
+    order = pick_sort(sort, SORTS, scores is not None)
+    return counted_page(found, (("score", False), *then) if order is None else order, key, limit, offset)
+
+
+def tender_page(tenders: DataFrame, attachments: DataFrame, items: DataFrame, history: DataFrame, awards: DataFrame, most_items: int = 1000, most_changes: int = 100) -> DataFrame:
+    """(post_id, tender_id, title_en, files, item_total, items, changes, awards): a tender's page.
+
+    Current files by role; the first `most_items` lines of current files by page and row, and the number of all; the `most_changes` latest changes; awarded lines by decision,
+    item and beneficiary. Lists are cut while they are ranked, before anything of a tender is gathered; each id counts once.
+    """
+    files = attachments.where(F.col("is_current") == 1).dropDuplicates(["id"])
+    own = items.join(files.select(F.col("id").alias("attachment_id")), "attachment_id", "left_semi").dropDuplicates(["id"])
+
+    def listed(df: DataFrame, name: str, order: list[Column], most: int | None, *cols: str) -> DataFrame:
+        if most is not None:
+            df = df.withColumn("_rank", F.row_number().over(Window.partitionBy("post_id").orderBy(*order))).where(F.col("_rank") <= most)
+            return df.groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct("_rank", *cols))).alias("_l")).select("post_id", F.transform("_l", lambda r: F.struct(*[r[c].alias(c) for c in cols])).alias(name))
+        return df.groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+
+    parts = [
+        listed(files, "files", [], None, "role", "id", "filename", "version"),
+        own.groupBy("post_id").agg(F.count(F.lit(1)).alias("item_total")),
+        listed(own, "items", [F.col("source_page").asc_nulls_first(), F.col("row_index").asc_nulls_first(), F.col("id")], most_items, "id", "description", "qty"),
+        listed(history.dropDuplicates(["id"]).withColumn("_at", F.try_to_timestamp("changed_at")), "changes", [F.col("_at").desc_nulls_last(), F.col("id").desc()], most_changes, "id", "field", "old_value", "new_value"),
+        listed(awards, "awards", [], None, "award_no", "item_no", "beneficiary", "unit_cost"),
+    ]
+    out = reduce(lambda a, b: a.join(b, "post_id", "left"), parts, tenders.select("post_id", "tender_id", "title_en"))
+    lists = [F.coalesce(c, F.array()).alias(c) for c in ("items", "changes", "awards")]
+    return out.select("post_id", "tender_id", "title_en", F.coalesce("files", F.array()).alias("files"), F.coalesce("item_total", F.lit(0)).alias("item_total"), *lists)
+
+
 def pick_sort(requested: str, known: dict, matched: bool, default: str = "opening_desc") -> tuple[tuple[str, bool], ...] | None:
     """The columns of a requested order; None (by score) for relevance with a search; the default for all else."""
     if requested in known:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def _current(spark: SparkSession, d: str) -> DataFrame:
 _ITEMS = "(SELECT DISTINCT * FROM tender_items)"
 _FILES = "(SELECT DISTINCT * FROM attachments)"
 _CURRENT = f"""(SELECT i.id, i.post_id, t.tender_id, i.nupco_code, i.description, i.uom, i.qty, i.category_guess, i.is_accessory, i.attachment_id, a.filename,
-  t.title_en, t.status_label, t.submission_ts, t.opening_ts, COALESCE(t.country, 'SA') AS country
+  t.title_en, t.status_label, t.submission_ts, t.opening_ts, COALESCE(t.country, 'SA') AS country, t.is_terminal, t.days_to_deadline
   FROM {_ITEMS} i JOIN {_FILES} a ON a.id = i.attachment_id AND a.is_current = 1 JOIN tenders t ON t.post_id = i.post_id)"""
 _OPEN = "(is_terminal = 0 AND (days_to_deadline IS NULL OR days_to_deadline >= 0))"
 _CATALOGUE = f"""(SELECT nupco_code, MIN(description) AS description, COUNT(DISTINCT tender_id) AS tender_count, COUNT(*) AS line_count, SUM(COALESCE(qty, 0)) AS total_qty,
@@ -150,30 +151,61 @@ def tenders_page(spark: SparkSession, d: str) -> DataFrame:
     return marts.page(rows, marts.pick_sort("relevance", marts.SORTS, False), "post_id", 10_000)
 
 
-@query(f"""SELECT t.post_id, (SELECT COUNT(*) FROM {_FILES} a WHERE a.post_id = t.post_id AND a.is_current = 1) AS files, (SELECT COUNT(*) FROM {_CURRENT} i WHERE i.post_id = t.post_id) AS items,
-  (SELECT COUNT(DISTINCT h.id) FROM tender_history h WHERE h.post_id = t.post_id) AS changes FROM tenders t""")
-def tender_detail(spark: SparkSession, d: str) -> DataFrame:
-    """The sizes of the nested lists that a tender's page shows."""
-    nested = tender_pages(spark, d)
-    return nested.select("post_id", *[F.size(c).cast("long").alias(c) for c in ("files", "items", "changes")])
+def _orders_sql(rows: str, sorts: dict, key: str, limit: int) -> str:
+    by = lambda order: ", ".join(f"{c} {'ASC' if up else 'DESC'} NULLS LAST" for c, up in order)
+    return " UNION ALL ".join(f"SELECT * FROM (SELECT '{name}' AS sort, {key} FROM {rows} ORDER BY {by(order)}, {key} LIMIT {limit})" for name, order in sorts.items())
+
+
+def _orders(rows: DataFrame, sorts: dict, key: str, limit: int) -> DataFrame:
+    pages = [marts.page(rows, order, key, limit).select(F.lit(name).alias("sort"), key) for name, order in sorts.items()]
+    return reduce(lambda a, b: a.unionByName(b), pages)
+
+
+@query(_orders_sql(_CURRENT, marts.SORTS, "id", 40))
+def item_orders(spark: SparkSession, d: str) -> DataFrame:
+    """The first lines under each order that items can be asked for."""
+    return _orders(_current(spark, d), marts.SORTS, "id", 40)
+
+
+@query(_orders_sql(_CATALOGUE, marts.CATALOGUE_SORTS, "nupco_code", 40))
+def catalogue_orders(spark: SparkSession, d: str) -> DataFrame:
+    """The first codes under each order of the catalogue."""
+    return _orders(marts.catalogue(_current(spark, d)).withColumn("total_qty", F.round("total_qty", 3)), marts.CATALOGUE_SORTS, "nupco_code", 40)
+
+
+@query(f"SELECT id, qty FROM {_CURRENT} WHERE is_accessory = 0 AND category_guess = 'device'")
+def without_accessories(spark: SparkSession, d: str) -> DataFrame:
+    return marts.filtered(_current(spark, d), category="device", hide_accessories=True).select("id", "qty")
+
+
+_PAGE_TENDERS = f"""SELECT t.post_id, COALESCE((SELECT STRING_AGG(a.id::VARCHAR, ',' ORDER BY a.role NULLS FIRST, a.id) FROM {_FILES} a WHERE a.post_id = t.post_id AND a.is_current = 1), '') AS files,
+  COALESCE(n.n, 0) AS item_total, COALESCE(n.ids, '') AS items, COALESCE(h.ids, '') AS changes, COALESCE(w.ids, '') AS awards FROM tenders t
+  LEFT JOIN (SELECT post_id, COUNT(*) AS n, STRING_AGG(id::VARCHAR, ',' ORDER BY k) FILTER (WHERE k <= 1000) AS ids FROM (SELECT i.post_id, i.id, ROW_NUMBER() OVER (PARTITION BY i.post_id ORDER BY i.source_page NULLS FIRST, i.row_index NULLS FIRST, i.id) AS k
+    FROM {_ITEMS} i WHERE i.attachment_id IN (SELECT id FROM attachments WHERE is_current = 1)) GROUP BY post_id) n ON n.post_id = t.post_id
+  LEFT JOIN (SELECT post_id, STRING_AGG(id::VARCHAR, ',' ORDER BY k) AS ids FROM (SELECT post_id, id, ROW_NUMBER() OVER (PARTITION BY post_id ORDER BY TRY_CAST(changed_at AS TIMESTAMPTZ) DESC NULLS LAST, id DESC) AS k
+    FROM (SELECT DISTINCT * FROM tender_history)) WHERE k <= 100 GROUP BY post_id) h ON h.post_id = t.post_id
+  LEFT JOIN (SELECT m.post_id, STRING_AGG(l_orderkey || '-' || l_linenumber, ',' ORDER BY lpad(l_orderkey::VARCHAR, 12, '0'), l_linenumber, l_suppkey) AS ids FROM lineitem
+    JOIN tenders m ON m.post_id % 60000 = l_orderkey GROUP BY m.post_id) w ON w.post_id = t.post_id"""
 
 
 @query()
 def tender_pages(spark: SparkSession, d: str) -> DataFrame:
-    """A tender's page: its files by role, items by page and row, changes with the newest first."""
-    tenders, attachments, items, history = _some(spark, d, "tenders", "attachments", "tender_items", "tender_history")
-    files = attachments.where(F.col("is_current") == 1).dropDuplicates(["id"])
-    own = items.dropDuplicates(["id"]).join(files.select(F.col("id").alias("attachment_id")), "attachment_id", "left_semi")
-    listed = lambda df, name, *cols: df.groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
-    parts = [
-        listed(files, "files", "role", "id", "filename", "version"),
-        listed(own, "items", "source_page", "row_index", "id", "description", "qty"),
-        listed(history.dropDuplicates(["id"]), "changes", (-F.col("id")).alias("newest"), "field", "old_value", "new_value"),
-    ]
-    out = tenders.select("post_id", "tender_id", "title_en")
-    for p in parts:
-        out = out.join(p, "post_id", "left")
-    return out.select("post_id", "tender_id", "title_en", *[F.coalesce(c, F.array()).alias(c) for c in ("files", "items", "changes")])
+    """A tender's page: its files by role, lines by page and row, the latest changes, and award lines, for which orders stand by the rest of the tender's key."""
+    tenders, attachments, items, history, lines = _some(spark, d, "tenders", "attachments", "tender_items", "tender_history", "lineitem")
+    own = tenders.select("post_id", F.pmod("post_id", F.lit(60_000)).alias("l_orderkey"))
+    awards = lines.join(own, "l_orderkey").select(
+        "post_id", F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("award_no"), F.col("l_linenumber").alias("item_no"), F.col("l_suppkey").alias("beneficiary"),
+        X.unit_cost(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_cost"),
+    )
+    return marts.tender_page(tenders, attachments, items, history, awards)
+
+
+@query(_PAGE_TENDERS)
+def tender_detail(spark: SparkSession, d: str) -> DataFrame:
+    """The nested lists of all tender pages, as the ids in their order."""
+    ids = lambda c: F.array_join(F.transform(c, lambda r: r["id"].cast("string")), ",").alias(c)
+    awards = F.transform("awards", lambda r: F.concat_ws("-", r["award_no"].cast("long").cast("string"), r["item_no"].cast("string")))
+    return tender_pages(spark, d).select("post_id", ids("files"), "item_total", ids("items"), ids("changes"), F.array_join(awards, ",").alias("awards"))
 
 
 # --- versions ---
@@ -400,6 +432,40 @@ def document_search(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.round("score", 6).alias("score"))
 
 
+_ITEM_TEXT = ("description", "nupco_code", "item_no", "tender_id", "generic_name", "generic_name_ar", "rdl_code")
+_ITEM_SCORES = _bm25(f"(SELECT DISTINCT id, {', '.join(_ITEM_TEXT)} FROM tender_items)", "id", f"concat_ws(' ', {', '.join(_ITEM_TEXT)})", ["mg", "cap"])
+_FOUND_ITEMS = f"(SELECT c.*, s.score FROM {_CURRENT} c JOIN ({_ITEM_SCORES}) s ON s.id = c.id WHERE c.category_guess = 'pharma' AND c.is_accessory = 0 AND {_OPEN})"
+
+
+def _item_page(spark: SparkSession, d: str, sort: str) -> DataFrame:
+    items = table(spark, d, "tender_items").select("id", *_ITEM_TEXT).dropDuplicates(["id"])
+    scores = search.search(items, "id", F.concat_ws(" ", *_ITEM_TEXT), "MG cap*")
+    found = marts.search_page(_current(spark, d), scores, "id", sort, 100, 5, then=marts.SORTS["opening_desc"], category="pharma", open_only=True, hide_accessories=True)
+    return found.select("id", "score", "submission_ts", "total")
+
+
+@query(f"SELECT id, score, submission_ts, (SELECT COUNT(*) FROM {_FOUND_ITEMS}) AS total FROM {_FOUND_ITEMS} ORDER BY score DESC, opening_ts DESC NULLS LAST, id LIMIT 100 OFFSET 5")
+def item_search_page(spark: SparkSession, d: str) -> DataFrame:
+    """Words, filters, order by relevance and the total in one query, over all seven fields of an item."""
+    return _item_page(spark, d, "relevance")
+
+
+@query(f"SELECT id, score, submission_ts, (SELECT COUNT(*) FROM {_FOUND_ITEMS}) AS total FROM {_FOUND_ITEMS} ORDER BY submission_ts NULLS LAST, id LIMIT 100 OFFSET 5")
+def item_search_by_deadline(spark: SparkSession, d: str) -> DataFrame:
+    return _item_page(spark, d, "deadline_asc")
+
+
+_FOUND_TENDERS = f"""(SELECT t.post_id, s.score, t.opening_ts FROM tenders t JOIN ({_bm25("tenders", "post_id", "concat_ws(' ', title_en, title_ar, tender_id)", ["s"])}) s ON s.post_id = t.post_id
+  WHERE COALESCE(t.country, 'SA') = 'SA' AND t.status_label = 'Cancelled')"""
+
+
+@query(f"SELECT post_id, score, (SELECT COUNT(*) FROM {_FOUND_TENDERS}) AS total FROM {_FOUND_TENDERS} ORDER BY score DESC, post_id LIMIT 50")
+def tender_search_page(spark: SparkSession, d: str) -> DataFrame:
+    tenders = table(spark, d, "tenders")
+    scores = search.search(tenders, "post_id", F.concat_ws(" ", "title_en", "title_ar", "tender_id"), "s")
+    return marts.search_page(tenders, scores, "post_id", status="Cancelled", country="sa").select("post_id", "score", "total")
+
+
 @query("SELECT w AS term, post_id, COUNT(*)::INTEGER AS tf FROM (SELECT post_id, unnest(regexp_extract_all(lower(concat_ws(' ', title_en, title_ar)), '[\\p{L}\\p{M}\\p{N}_]+')) AS w FROM tenders) GROUP BY 1, 2")
 def title_postings(spark: SparkSession, d: str) -> DataFrame:
     return search.postings(table(spark, d, "tenders"), "post_id", F.concat_ws(" ", "title_en", "title_ar")).select("term", "post_id", "tf")
