@@ -148,7 +148,8 @@ def formatted_copies(records: DataFrame, id_column: str, key: Column, least_fit:
     all their rows: large ones are salted when the rows look up their set. A row that comes twice under one id is no copy of itself. Empty and
     very long texts have keys like others; columns of other names change nothing; an empty table gives none.
     """
-    keyed = records.select(F.col(id_column).cast("long").alias("id"), key.alias("key")).where(F.col("id").isNotNull() & F.col("key").isNotNull())
+    # Tries, the count and the lookup all read the keys: written once, a row is brought to its canonical form once.
+    keyed = cut(records.select(F.col(id_column).cast("long").alias("id"), key.alias("key")).where(F.col("id").isNotNull() & F.col("key").isNotNull()))
     sets = cut(counted_keys(keyed, least_fit).where(F.col("rows") > 1))
     found = skew_safe_lookup(keyed, sets, ["key"], "id", "rows")
     return found.where(F.col("id") != F.col("least")).select(F.col("least").alias("kept"), F.col("id").alias("copy"), F.col("rows").alias("copies"))
