@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,22 +27,27 @@ STEPS = 4096
 _encoders: dict[str, object] = {}
 
 
-def _encoder(path: str):
-    """The tokenizer of a rank file, one per worker."""
-    if path not in _encoders:
+def _encoder(name: str):
+    """The tokenizer of a rank file that was sent to the executors, one per worker."""
+    if name not in _encoders:
         import tiktoken
 
-        with open(path, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        _encoders[path] = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[path]
+        _encoders[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _encoders[name]
 
 
 def token_sizes(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, source, n_tokens): the tokens of each whole text. Null texts are left out."""
+    """(doc_id, source, n_tokens): the tokens of each whole text. Null texts are left out.
+
+    The rank file needs to be on the driver's machine only; Spark sends it to the executors.
+    """
+    documents.sparkSession.sparkContext.addFile(vocabulary)
+    name = os.path.basename(vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(vocabulary).encode_ordinary
+        encode = _encoder(name).encode_ordinary
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "n_tokens": [len(encode(t)) for t in pdf["text"]]})
 
@@ -131,7 +137,8 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: float | None
     goals = {r["source"]: Goal(r["share"], max(1, r["repeats"])) for r in rows}
     own = documents.where(F.col("source").isin(list(goals))) if goals else documents.where(F.lit(False))
     sizes = cut(token_sizes(own, vocabulary).where(F.col("n_tokens") > 0))
-    histogram = sizes.groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("docs")).persist()
+    # One row per source and length; T tokens have at most sqrt(2 T) different lengths. In few parts, so that a round is a small job.
+    histogram = sizes.groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("docs")).coalesce(8).persist()
     for r in histogram.groupBy("source").agg(F.sum(F.col("docs") * F.col("n_tokens")).alias("tokens")).collect():
         goals[r["source"]].tokens = float(r["tokens"])
     there = {s: g for s, g in goals.items() if g.tokens > 0}
