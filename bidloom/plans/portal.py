@@ -291,19 +291,17 @@ def bound_sql(spark: SparkSession, d: str) -> DataFrame:
     return tables.run_sql(spark, "SELECT post_id, COUNT(*) AS changes FROM history_rows WHERE field = :field AND run_id >= :run GROUP BY post_id", field="status_label", run=50)
 
 
-@query("""SELECT post_id, 'https://p.example/d?tendNo=' || replace(replace(replace(COALESCE(tender_id, ''), '/', '%2F'), ' ', '+'), chr(9), '%09') || '&method=' || COALESCE(method, '') AS link,
-  COALESCE(NULLIF(title_en, ''), NULLIF(title_ar, '')) AS title FROM tenders WHERE regexp_matches(COALESCE(tender_id, ''), '^[A-Za-z0-9/. _-]*$') AND regexp_matches(COALESCE(method, ''), '^[A-Za-z0-9]*$')""")
-def detail_links(spark: SparkSession, d: str) -> DataFrame:
-    c = F.col
-    plain = F.coalesce(c("tender_id"), F.lit("")).rlike(r"^[A-Za-z0-9/. _-]*\z") & F.coalesce(c("method"), F.lit("")).rlike(r"^[A-Za-z0-9]*\z")
-    return table(spark, d, "tenders").where(plain).select("post_id", X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method")).alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
+def _form_sql(c: str) -> str:
+    """A value as in web forms: DuckDB's escapes, with the three characters that forms write otherwise."""
+    return f"replace(replace(replace(url_encode(COALESCE({c}, '')), '%20', '+'), '%2A', '*'), '~', '%7E')"
 
 
-@query()
-def all_detail_links(spark: SparkSession, d: str) -> DataFrame:
-    """The links of all tenders, also of those whose id or method needs escapes that the SQL of detail_links leaves out."""
+@query(f"""SELECT post_id, 'https://p.example/d?tendNo=' || {_form_sql("tender_id")} || '&method=' || {_form_sql("method")} || '&buyer=' || {_form_sql("buyer")} AS link,
+  COALESCE(NULLIF(title_en, ''), NULLIF(title_ar, '')) AS title FROM tenders""")
+def detail_links(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
-    return table(spark, d, "tenders").select("post_id", X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method")).alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
+    link = X.detail_url("https://p.example/d", tendNo=c("tender_id"), method=c("method"), buyer=c("buyer"))
+    return table(spark, d, "tenders").select("post_id", link.alias("link"), X.shown_title(c("title_en"), c("title_ar")).alias("title"))
 
 
 # --- upsert, delist ---
@@ -599,30 +597,104 @@ def drug_lines(spark: SparkSession, d: str) -> DataFrame:
     return read.join(payloads.select("id", "d0"), "id").select("id", "rdl_code", "unspsc", X.none_if_empty(F.col("d0")).alias("description"), "uom", "qty")
 
 
-@query("""SELECT post_id, regexp_extract(tender_id, '^([0-9]+)-', 1) AS tend_no, trim(regexp_replace(buyer, '[\\s\\p{Z}]+', ' ', 'g')) AS buyer, """ + _dmy_sql("opening_date")[1] + " AS published, " + _dmy_sql("submission_deadline")[1] + """ AS deadline
-  FROM tenders WHERE regexp_matches(tender_id, '^[0-9]+-[0-9]+$') AND buyer IS NOT NULL AND opening_date IS NOT NULL AND submission_deadline IS NOT NULL""")
-def list_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Tenders of the second portal written as result lists, then read."""
-    t = table(spark, d, "tenders").where(F.col("tender_id").rlike("^[0-9]+-[0-9]+$"))
-    call = F.concat(F.lit("<a onclick=\"fn_goDetail('"), F.regexp_extract("tender_id", "^([0-9]+)-", 1), F.lit("','"), F.regexp_extract("tender_id", "-([0-9]+)$", 1), F.lit("','1','EP1313','B','7','EP0021','EP0016')\">open</a>"))
-    cells = [call, F.lit("title"), F.col("buyer"), F.lit("Medicines"), F.col("opening_date"), F.col("submission_deadline")]
-    page = F.concat(F.lit("<table><tr><th>No</th></tr><tr class='r'>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr></table>"))
-    rows = portal_html.list_rows(t.select("post_id", page.alias("html")), "post_id")
-    return rows.select("post_id", "tend_no", "buyer", "published", "deadline")
+_FLAT = "trim(regexp_replace(COALESCE({c}, ''), '[\\s\\p{{Z}}]+', ' ', 'g'))"
+_PORTAL_NO = "CASE WHEN regexp_matches(tender_id, '^[0-9]+-[0-9]+$') THEN split_part(tender_id, '-', {i}) ELSE CAST(post_id AS VARCHAR) END"
 
 
-@query("SELECT DISTINCT url, sitemap_lastmod AS lastmod FROM tenders WHERE contains(url, '/tender/')  AND NOT regexp_matches(url, '^\\s|\\s$')")
+@query(f"""SELECT post_id, {_PORTAL_NO.format(i=1)} AS tend_no, {_PORTAL_NO.format(i=2)} AS tend_seq, {_FLAT.format(c='title_en')} AS title, {_FLAT.format(c='buyer')} AS buyer, {_dmy_sql("opening_date")[1]} AS published,
+  {_dmy_sql("submission_deadline")[1]} AS deadline, (post_id % 90000)::INTEGER AS results FROM tenders""")
+def list_pages(spark: SparkSession, d: str) -> DataFrame:
+    """All tenders written as result lists, with the number of results grouped by dots, then read."""
+    t, text = table(spark, d, "tenders"), F.lit
+    paired = F.col("tender_id").rlike(r"^[0-9]+-[0-9]+\z")
+    number = lambda i: F.when(paired, F.regexp_extract("tender_id", "^([0-9]+)-([0-9]+)", i)).otherwise(F.col("post_id").cast("string"))
+    call = F.concat(text("<td class='l'><a href='#' onclick=\"fn_goDetail('"), number(1), text("', '"), number(2), text("', '1', 'EP1313', 'B', '7', 'EP0021', 'EP0016');\">"), number(1), text("</a></td>"))
+    empty = lambda c: F.coalesce(F.col(c), text(""))
+    rest = [F.concat(text("<td>"), x, text("</td>")) for x in (empty("title_en"), empty("buyer"), text("Medicines"), empty("opening_date"), empty("submission_deadline"))]
+    dotted = F.regexp_replace(F.format_number(F.pmod("post_id", text(90_000)), 0), ",", ".")
+    html = F.concat(text("<p>عدد <span class='pointTxt2'> "), dotted, text(" </span> النتائج</p><table><tr><th>No</th><th>Title</th></tr><tr class='r'>"), call, *rest, text("</tr></table>"))
+    pages = t.select("post_id", html.alias("html"))
+    rows = portal_html.list_rows(pages, "post_id").join(pages.select("post_id", portal_html.list_total(F.col("html")).alias("results")), "post_id")
+    return rows.select("post_id", "tend_no", "tend_seq", "title", "buyer", "published", "deadline", "results")
+
+
+@query("SELECT DISTINCT trim(url) AS url, sitemap_lastmod AS lastmod FROM tenders WHERE contains(url, '/tender/')")
 def sitemap_entries(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "tenders").where(F.col("url").isNotNull() & ~F.col("url").rlike(r"^\s|\s$"))
-    xml = F.concat(F.lit("<urlset><url><loc>"), F.col("url"), F.lit("</loc>"), F.coalesce(F.concat(F.lit("<lastmod>"), F.col("sitemap_lastmod"), F.lit("</lastmod>")), F.lit("")), F.lit("</url></urlset>"))
+    t = table(spark, d, "tenders").where(F.col("url").isNotNull())
+    lastmod = F.coalesce(F.concat(F.lit("<lastmod>"), F.col("sitemap_lastmod"), F.lit("</lastmod>\n")), F.lit(""))
+    xml = F.concat(F.lit("<?xml version='1.0'?><urlset>\n<url>\n<loc>"), F.col("url"), F.lit("</loc>\n"), lastmod, F.lit("<priority>0.5</priority></url></urlset>"))
     return portal_html.sitemap_urls(t.select(xml.alias("html"))).distinct()
 
 
-@query("""SELECT post_id, label, value FROM (SELECT post_id, unnest(['Tender', 'Buyer']) AS label, unnest([trim(regexp_replace(tender_id, '[\\s\\p{Z}]+', ' ', 'g')), trim(regexp_replace(buyer, '[\\s\\p{Z}]+', ' ', 'g'))]) AS value
-  FROM tenders WHERE tender_id IS NOT NULL AND buyer IS NOT NULL)""")
+_SLUGS = "COALESCE(list_filter(TRY_CAST(TRY_CAST(status_slugs AS JSON) AS VARCHAR[]), lambda x: regexp_matches(x, '^[a-z0-9-]+$')), [])"
+
+
+@query(f"SELECT post_id, array_to_string({_SLUGS}, ',') AS slugs, NULLIF(url, '') AS url, NULLIF({_FLAT.format(c='title_en')}, '') AS title, NULLIF({_FLAT.format(c='submission_deadline')}, '') AS deadline FROM tenders")
+def card_pages(spark: SparkSession, d: str) -> DataFrame:
+    """All tenders written as cards of a result grid, then read."""
+    t, text = table(spark, d, "tenders"), F.lit
+    classes = F.array_join(F.transform(F.filter(F.coalesce(F.from_json("status_slugs", "array<string>"), F.array().cast("array<string>")), lambda x: x.rlike(r"^[a-z0-9-]+\z")), lambda x: F.concat(text(" tender-status-"), x)), "")
+    shown = lambda widget, c: F.concat(text(f"<div class='w' data-id=\"{widget}\" data-w='1'><span>"), F.coalesce(F.col(c), text("")), text("</span></div>"))
+    card = F.concat(
+        text("<div class=\"e-loop-item post-"), F.col("post_id").cast("string"), text(" type-tender"), classes, text("\" data-x='1'><a class='c' href=\""), F.coalesce("url", text("")), text("\">open</a>"),
+        shown("aa11", "title_en"), shown("bb22", "submission_deadline"), text("</div>"),
+    )
+    html = F.concat(text("<div id='tender-grid'>"), card, text("<div class=\"e-loop-item none\"></div></div>"))
+    rows = portal_html.cards(t.select("post_id", html.alias("html")).withColumnRenamed("post_id", "page_id"), {"title": "aa11", "deadline": "bb22"})
+    return rows.select("post_id", F.array_join("status_slugs", ",").alias("slugs"), "url", "title", "deadline")
+
+
+@query(f"""SELECT post_id, NULLIF(h, '') AS opening_date, NULLIF(s, '') AS submission_deadline, NULLIF(t, '') AS tender_id, NULLIF(l, '') AS status_label, booklet_price_sar, CASE WHEN url <> '' THEN url END AS terms_url FROM
+  (SELECT *, {_FLAT.format(c='opening_date')} AS h, {_FLAT.format(c='submission_deadline')} AS s, {_FLAT.format(c='tender_id')} AS t, {_FLAT.format(c='status_label')} AS l FROM tenders)""")
+def detail_pages(spark: SparkSession, d: str) -> DataFrame:
+    """All tenders written as detail pages of headings and buttons, then read."""
+    t, text = table(spark, d, "tenders"), F.lit
+    heading = lambda x: F.concat(text("<div class='e' data-widget_type=\"heading.default\"><h2>"), F.coalesce(x, text("")), text("</h2></div>"))
+    price = F.when(F.col("booklet_price_sar").isNotNull(), F.concat(F.format_string("%.2f", "booklet_price_sar"), text(" SAR")))
+    html = F.concat(
+        text("<html lang=\"en-US\"><body class=\"single postid-"), F.col("post_id").cast("string"), text(" logged\">"), heading(text("Tender ID :")), heading(F.col("tender_id")), heading(F.col("status_label")), heading(text("Opening Date")), heading(F.col("opening_date")),
+        heading(text("Submission Deadline:")), heading(F.col("submission_deadline")), heading(text("Tender Booklet Price")), heading(price),
+        text("<a class=\"elementor-button x\" href=\""), F.coalesce("url", text("")), text("\"><span>Terms</span></a></body></html>"),
+    )
+    rows = portal_html.details(t.select(F.col("post_id").alias("page_id"), html.alias("html")))
+    return rows.select("post_id", "opening_date", "submission_deadline", "tender_id", "status_label", "booklet_price_sar", F.col("attachments")["Terms"].alias("terms_url"))
+
+
+@query("""SELECT post_id, CAST(tender_year AS VARCHAR) AS code, NULLIF(trim(buyer), '') AS name, CAST(tender_seq AS VARCHAR) AS bracketed, CAST(days_to_deadline AS VARCHAR) AS progress FROM tenders""")
+def entity_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Coded names, bracketed texts and the progress in a run's notes, taken apart."""
+    c, text = F.col, F.lit
+    entity = F.concat(F.coalesce(F.concat(text(" ["), c("tender_year").cast("string"), text("] ")), text("")), F.coalesce("buyer", text("")))
+    price = F.concat(text("[] 12.5 [ "), c("tender_seq").cast("string"), text(" ]"))
+    notes = F.to_json(F.struct(text("crawl").alias("mode"), c("days_to_deadline").alias("progress")))
+    return table(spark, d, "tenders").select("post_id", X.entity_code(entity).alias("code"), X.entity_name(entity).alias("name"), X.bracketed(price).alias("bracketed"), X.progress(notes).alias("progress"))
+
+
+@query("""SELECT post_id, COALESCE(NULLIF(title_en, ''), title_ar) AS title, detail_fetched_at IS NOT NULL AND COALESCE(is_listed, 0) = 1 AND (NOT COALESCE(is_terminal, 0) = 1 OR COALESCE(status_label, '') = 'Awarded') AS skipped FROM tenders""")
+def merged_details(spark: SparkSession, d: str) -> DataFrame:
+    """What a card says before what the detail page says, and which tenders need no reading."""
+    c = F.col
+    skipped = discovery.frozen(False, c("detail_fetched_at"), F.coalesce(c("is_listed"), F.lit(0)) == 1, F.coalesce(c("is_terminal"), F.lit(0)) == 1, F.coalesce(c("status_label"), F.lit("")) == "Awarded")
+    return table(spark, d, "tenders").select("post_id", discovery.overlay({"title": c("title_en")}, {"title": c("title_ar")})["title"].alias("title"), skipped.alias("skipped"))
+
+
+@query(f"""SELECT id, CASE WHEN parse_status = 'failed' THEN 'missing' WHEN size_bytes <> length(filename) THEN 'wrong size' WHEN lower(content_sha256) <> sha256(filename) THEN 'wrong hash' ELSE 'ok' END AS verdict
+  FROM {_FILES} WHERE local_path IS NOT NULL AND filename IS NOT NULL""")
+def archive_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The files against an archive that holds their names as contents; those whose parsing failed are missing in it."""
+    files = table(spark, d, "attachments").dropDuplicates(["id"]).where(F.col("local_path").isNotNull() & F.col("filename").isNotNull())
+    own = files.withColumn("local_path", F.concat_ws("#", "local_path", "id"))
+    there = own.where(F.coalesce(F.col("parse_status") != "failed", F.lit(True)))
+    archive = there.select(F.col("local_path").alias("path"), F.length("filename").cast("long").alias("length"), F.encode("filename", "UTF-8").alias("content"))
+    return versions.audit(own.select("id", "local_path", "size_bytes", "content_sha256"), archive).select("id", "verdict")
+
+
+@query(f"""SELECT post_id, label, value FROM (SELECT post_id, unnest(['Tender', 'Buyer', 'Method']) AS label, unnest([{_FLAT.format(c='tender_id')}, {_FLAT.format(c='buyer')}, {_FLAT.format(c='method')}]) AS value FROM tenders)""")
 def label_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled values of all tenders written as tables, also several to a row and again further down, then read."""
     t = table(spark, d, "tenders")
-    html = F.concat(F.lit("<table><tr><th>Tender</th><td>"), F.col("tender_id"), F.lit("</td><th>Buyer</th><td><b>"), F.col("buyer"), F.lit("</b></td></tr><tr><th>Buyer</th><td>second</td></tr></table>"))
+    cell = lambda c: F.concat(F.lit("</th>\n<td class='v'>"), F.coalesce(F.col(c), F.lit("")), F.lit("</td>"))
+    html = F.concat(F.lit("<table><tr><th>Tender"), cell("tender_id"), F.lit("<th scope='row'>Buyer"), cell("buyer"), F.lit("</tr><tr><th>Heading</th><th>Method"), cell("method"), F.lit("</tr><tr><th>Buyer</th><td>second</td></tr></table>"))
     return portal_html.label_values(t.select("post_id", html.alias("html")), "post_id")
 
 
