@@ -706,19 +706,17 @@ def stitched_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.line_items(written.withColumn("page", F.lit(1)), words=None).select("file_id", "nupco_code", "sn")
 
 
-@query(f"""SELECT attachment_id AS file_id, COUNT(*) AS items, COUNT(nupco_code) FILTER (WHERE nupco_code <> '') AS coded, MIN(trim(description)) AS first_text FROM (SELECT DISTINCT attachment_id, id, description,
-  regexp_replace(nupco_code, '[^0-9]', '', 'g') AS nupco_code FROM tender_items WHERE attachment_id IS NOT NULL AND id IS NOT NULL AND length(trim(description)) >= 3 AND NOT regexp_matches(description, '["\\n\\r]|  ')
-  AND COALESCE(NOT regexp_matches(nupco_code, '[^0-9]'), TRUE)) GROUP BY 1""")
+@query(f"""SELECT attachment_id AS file_id, COUNT(*) AS items, COUNT(NULLIF(nupco_code, '')) AS coded, MIN(description) AS first_text FROM (SELECT DISTINCT attachment_id, id, {_FLAT.format(c='description')} AS description,
+  regexp_replace(nupco_code, '[^0-9]', '', 'g') AS nupco_code FROM tender_items WHERE attachment_id IS NOT NULL AND id IS NOT NULL) WHERE length(description) >= 3 GROUP BY 1""")
 def text_files(spark: SparkSession, d: str) -> DataFrame:
     """The items of each file written as delimited text, then read: header found, columns named, rows parsed."""
-    c = F.col
+    c, text = F.col, F.lit
     items = table(spark, d, "tender_items").select("attachment_id", "id", "nupco_code", "description").dropDuplicates()
-    plain = items.where(
-        c("attachment_id").isNotNull() & c("id").isNotNull() & (F.length(F.trim("description")) >= 3) & ~c("description").rlike('["\\n\\r]|  ') & F.coalesce(~c("nupco_code").rlike("[^0-9]"), F.lit(True)),
-    )
-    line = F.concat_ws(";", c("id").cast("string"), F.coalesce("nupco_code", F.lit("")), F.concat(F.lit('"'), c("description"), F.lit('"')), F.lit("EA"), F.lit("1"))
-    text = F.concat(F.lit("list of items\nSN;Material Code;Item Description;UOM;Required Quantity\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n"))
-    files = plain.groupBy(c("attachment_id").alias("file_id")).agg(F.encode(text, "UTF-8").alias("content")).withColumn("name", F.lit("list.csv"))
+    own = items.where(c("attachment_id").isNotNull() & c("id").isNotNull())
+    quoted = lambda x: F.concat(text('"'), F.replace(F.coalesce(x, text("")), text('"'), text('""')), text('"'))
+    line = F.concat_ws(";", c("id").cast("string"), quoted(c("nupco_code")), quoted(c("description")), text("EA"), text("1"))
+    content = F.concat(text("list of items\nSN;Material Code;Item Description;UOM;Required Quantity\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n"))
+    files = own.groupBy(c("attachment_id").alias("file_id")).agg(F.encode(content, "UTF-8").alias("content")).withColumn("name", text("list.csv"))
     read = tabular.sheet_items(sinks.dead_letters(tabular.file_rows(files), AS_OF, 1)[0])
     return read.groupBy("file_id").agg(F.count(F.lit(1)).alias("items"), F.count("nupco_code").alias("coded"), F.min("description").alias("first_text"))
 
