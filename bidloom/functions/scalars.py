@@ -191,6 +191,11 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
+def canonical_json_hash(**fields: Column) -> Column:
+    """SHA-256 of a record as JSON with its fields in the order of their names, nulls included."""
+    return F.sha2(F.to_json(F.struct(*[fields[name].alias(name) for name in sorted(fields)]), {"ignoreNullFields": "false"}), 256)
+
+
 def progress(notes: Column) -> Column:
     """The progress entry of a run's notes; null where they are no JSON."""
     return F.get_json_object(notes, "$.progress")

@@ -36,9 +36,9 @@ def runs_of_history(history: DataFrame) -> DataFrame:
 
 
 def digest(tenders: DataFrame, history: DataFrame, run_id: int, as_of_days: tuple[int, int] = (0, 14), new: int = 60, changes: int = 40, closing: int = 60) -> DataFrame:
-    """(section, position, text): the report of a run: its new tenders, its latest changes, and pharma tenders that close within 14 days.
+    """(section, position, text): the report of a run: totals per source, its new tenders, its latest changes, and pharma tenders that close within 14 days.
 
-    Each section is a top list; texts are cells of a markdown table.
+    Each section but the totals is a top list; texts are cells of a markdown table.
     """
     from pyspark.sql import Window
 
@@ -52,7 +52,11 @@ def digest(tenders: DataFrame, history: DataFrame, run_id: int, as_of_days: tupl
 
     c = F.col
     soon = tenders.where((c("category_guess") == "pharma") & c("days_to_deadline").between(*as_of_days))
+    totals = tenders.groupBy(F.coalesce("source", F.lit("nupco")).alias("source")).agg(
+        F.count(F.lit(1)).alias("tenders"), F.count_if(F.col("is_listed") == 1).alias("listed"), F.max("last_changed_at").alias("latest"),
+    )
     parts = [
+        section("totals", totals, [c("source")], 1000, c("source"), c("tenders"), c("listed"), c("latest")),
         section("new", born, [c("post_id")], new, c("tender_id"), c("title_en"), c("status_label"), c("submission_ts")),
         section("changes", own, [c("id").desc()], changes, c("tender_id"), c("field"), c("old_value"), c("new_value")),
         section("closing", soon, [c("days_to_deadline"), c("post_id")], closing, c("tender_id"), c("title_en"), c("days_to_deadline")),
@@ -61,7 +65,7 @@ def digest(tenders: DataFrame, history: DataFrame, run_id: int, as_of_days: tupl
 
 
 def quality_checks(tenders: DataFrame, items: DataFrame, attachments: DataFrame) -> DataFrame:
-    """(check_name, failures): rows that break each rule."""
+    """(check_name, failures): rows that break each rule; coded_per_mille is the share of items with any code, in thousandths."""
     n = lambda name, df: df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
     files = attachments.dropDuplicates(["id"])
     lines = items.dropDuplicates(["id"])
@@ -75,6 +79,7 @@ def quality_checks(tenders: DataFrame, items: DataFrame, attachments: DataFrame)
         n("negative_qty", lines.where(F.col("qty") < 0)),
         n("dates_not_iso", bad_dates),
         n("tenders_without_id", tenders.where(F.col("tender_id").isNull())),
+        lines.agg(F.floor(F.count_if(F.col("nupco_code").isNotNull() | F.col("rdl_code").isNotNull()) * 1000 / F.greatest(F.count(F.lit(1)), F.lit(1))).cast("long").alias("failures")).select(F.lit("coded_per_mille").alias("check_name"), "failures"),
         n("items_without_code", lines.where(F.col("nupco_code").isNull() & F.col("rdl_code").isNull())),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

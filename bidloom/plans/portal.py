@@ -547,6 +547,13 @@ def content_hash(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", X.content_hash(F.col("text")).alias("digest"))
 
 
+@query("""SELECT post_id, sha256('{"listed":' || COALESCE(is_listed::VARCHAR, 'null') || ',"post":' || post_id || ',"status":' || COALESCE(to_json(status_label)::VARCHAR, 'null') || ',"title":' || COALESCE(to_json(title_ar)::VARCHAR, 'null') || '}') AS digest FROM tenders""")
+def record_hash(spark: SparkSession, d: str) -> DataFrame:
+    """A digest of each record that no order of its fields changes."""
+    c = F.col
+    return table(spark, d, "tenders").select("post_id", X.canonical_json_hash(title=c("title_ar"), status=c("status_label"), post=c("post_id"), listed=c("is_listed")).alias("digest"))
+
+
 @query("SELECT doc_id, n_chars, length(text) AS found, length(text) = n_chars AS ok FROM documents")
 def length_audit(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "n_chars", F.length("text").cast("long").alias("found"), (F.length("text") == F.col("n_chars")).alias("ok"))
@@ -782,7 +789,9 @@ _LAST = "(SELECT MAX(run_id) FROM tender_history)"
 @query(f"""WITH h AS (SELECT DISTINCT * FROM tender_history WHERE run_id = {_LAST}),
   b AS (SELECT * FROM tenders WHERE post_id IN (SELECT post_id FROM h WHERE field = '_record')), c AS (SELECT * FROM h WHERE field <> '_record'),
   p AS (SELECT * FROM tenders WHERE category_guess = 'pharma' AND days_to_deadline BETWEEN 0 AND 14)
-  SELECT 'new' AS section, k::INTEGER AS position, text FROM (SELECT ROW_NUMBER() OVER (ORDER BY post_id) AS k, {" || ' | ' || ".join(_CELL.format(c=x) for x in ('tender_id', 'title_en', 'status_label', 'submission_ts'))} AS text FROM b) WHERE k <= 60
+  SELECT 'totals' AS section, k::INTEGER AS position, text FROM (SELECT ROW_NUMBER() OVER (ORDER BY source) AS k, {" || ' | ' || ".join(_CELL.format(c=x) for x in ('source', 'tenders', 'listed', 'latest'))} AS text FROM
+    (SELECT COALESCE(source, 'nupco') AS source, COUNT(*) AS tenders, COUNT(*) FILTER (WHERE is_listed = 1) AS listed, MAX(last_changed_at) AS latest FROM tenders GROUP BY 1))
+  UNION ALL SELECT 'new' AS section, k::INTEGER AS position, text FROM (SELECT ROW_NUMBER() OVER (ORDER BY post_id) AS k, {" || ' | ' || ".join(_CELL.format(c=x) for x in ('tender_id', 'title_en', 'status_label', 'submission_ts'))} AS text FROM b) WHERE k <= 60
   UNION ALL SELECT 'changes', k::INTEGER, text FROM (SELECT ROW_NUMBER() OVER (ORDER BY id DESC) AS k, {" || ' | ' || ".join(_CELL.format(c=x) for x in ('tender_id', 'field', 'old_value', 'new_value'))} AS text FROM c) WHERE k <= 40
   UNION ALL SELECT 'closing', k::INTEGER, text FROM (SELECT ROW_NUMBER() OVER (ORDER BY days_to_deadline, post_id) AS k, {" || ' | ' || ".join(_CELL.format(c=x) for x in ('tender_id', 'title_en', 'days_to_deadline'))} AS text FROM p) WHERE k <= 60""")
 def run_digest(spark: SparkSession, d: str) -> DataFrame:
@@ -798,6 +807,7 @@ def run_digest(spark: SparkSession, d: str) -> DataFrame:
   UNION ALL SELECT 'dates_not_iso', COUNT(*) FROM tenders WHERE COALESCE(NOT regexp_matches(opening_ts, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'), FALSE) OR COALESCE(NOT regexp_matches(submission_ts, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'), FALSE)
     OR COALESCE(NOT regexp_matches(bid_opening_ts, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'), FALSE)
   UNION ALL SELECT 'tenders_without_id', COUNT(*) FROM tenders WHERE tender_id IS NULL
+  UNION ALL SELECT 'coded_per_mille', (COUNT(*) FILTER (WHERE nupco_code IS NOT NULL OR rdl_code IS NOT NULL) * 1000 // GREATEST(COUNT(*), 1))::BIGINT FROM {_ITEMS}
   UNION ALL SELECT 'items_without_code', COUNT(*) FROM {_ITEMS} WHERE nupco_code IS NULL AND rdl_code IS NULL""")
 def dq_checks(spark: SparkSession, d: str) -> DataFrame:
     return runs.quality_checks(*_some(spark, d, "tenders", "tender_items", "attachments"))

@@ -170,3 +170,50 @@ def test_windowed_stream_drops_late_rows(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r["event_type"], r["n"], r["total"]) for r in spark.sql("SELECT * FROM w").collect()] == [("a", 2, 3.0)]
+
+
+def test_slices_follow_the_rows_not_their_range(spark):
+    """Outliers, unreadable instants and one instant of many rows leave no slice of a hot key with most of its rows."""
+    from bidloom.skew import with_slices
+
+    rows = [(1, 1000 + i // 7, i) for i in range(5000)] + [(1, -(2**62), 10**6 + i) for i in range(2000)] + [(1, 10**15, 7), (1, 5000, None)] + [(2, 5, i) for i in range(50)]
+    out, sliced = with_slices(spark.createDataFrame(rows, "k long, o long, t long"), ["k"], "o", "t", least=100)
+    numbers = [r["slice_no"] for r in out.where("k = 1").orderBy("o", F.col("t").asc_nulls_first()).collect()]
+    assert sliced and numbers == sorted(numbers) and max(numbers) < 256
+    assert max(numbers.count(n) for n in set(numbers)) < len(numbers) / 40
+    assert {r["slice_no"] for r in out.where("k = 2").collect()} == {0}
+
+
+def test_versions_of_a_hot_key_with_outliers(spark):
+    import random
+
+    from bidloom.operators import versions
+
+    rnd = random.Random(3)
+    rows = [(1, "r", i, rnd.choice("aab"), f"2026-01-{1 + i % 28:02d}T{i % 24:02d}:00:00Z") for i in range(300)] + [(1, "r", 900, "z", "9999-12-31T00:00:00Z"), (1, "r", 901, "y", "not a time"), (2, "r", 5, "q", None)]
+    df = spark.createDataFrame(rows, "post_id long, role string, id long, content_sha256 string, seen_at string")
+    plain, sliced = (
+        sorted(map(str, versions.number_versions(df, least=least).select("post_id", "role", "version", "content_sha256", "is_current").collect())) for least in (10_000, 20)
+    )
+    assert plain == sliced and len(plain) > 50
+
+
+def test_search_pages_and_tender_pages(spark):
+    rows = spark.createDataFrame(
+        [(1, "pharma", "Open", 0, 0, 5, "2026-01-01", "2026-02-01", None), (2, "pharma", "Open", 0, 1, None, None, None, "JO"), (3, "lab", None, 1, None, -1, "2026-01-03", None, "SA")],
+        "id long, category_guess string, status_label string, is_terminal int, is_accessory int, days_to_deadline int, opening_ts string, submission_ts string, country string",
+    )
+    scores = spark.createDataFrame([(1, 0.5), (2, 0.9), (3, 0.5)], "id long, score double")
+    page = lambda *a, **k: [(r["id"], r["total"]) for r in marts.search_page(rows, *a, **k).collect()]
+    assert page(scores, "id") == [(2, 3), (1, 3), (3, 3)] and page(scores, "id", limit=1, offset=1) == [(1, 3)]
+    assert page(scores, "id", "deadline_asc", category="pharma") == [(1, 2), (2, 2)] and page(scores, "id", hide_accessories=True) == [(1, 1)]
+    assert page(None, "id") == [(3, 3), (1, 3), (2, 3)] == page(None, "id", "nonsense") and page(scores.limit(0), "id") == [] and page(scores, "id", offset=9) == []
+    tenders = spark.createDataFrame([(1, "T", "x"), (2, None, None)], "post_id long, tender_id string, title_en string")
+    files = spark.createDataFrame([(7, 1, "b", "f", 1, 1), (7, 1, "b", "f", 1, 1), (8, 1, None, None, 2, 1), (9, 1, "c", "old", 1, 0)], "id long, post_id long, role string, filename string, version int, is_current int")
+    items = spark.createDataFrame([(k, 1, 7, None, 10 - k, "d", 1.0) for k in range(5)] + [(0, 1, 7, None, 10, "d", 1.0), (20, 1, 9, 1, 1, "retired", 1.0)], "id long, post_id long, attachment_id long, source_page int, row_index int, description string, qty double")
+    history = spark.createDataFrame([(1, 1, "f", "a", "b", "2026-01-01T00:00:00+03:00"), (2, 1, "f", "b", "c", "broken"), (3, 1, "f", "c", "d", "2026-01-01T00:00:00Z")], "id long, post_id long, field string, old_value string, new_value string, changed_at string")
+    awards = spark.createDataFrame([(1, "2", 1, "z", None), (1, "1", 9, None, 2.5)], "post_id long, award_no string, item_no int, beneficiary string, unit_cost double")
+    a, b = marts.tender_page(tenders, files, items, history, awards, most_items=3).orderBy("post_id").collect()
+    assert [f["id"] for f in a["files"]] == [8, 7] and a["item_total"] == 5 and [i["id"] for i in a["items"]] == [4, 3, 2]
+    assert [h["id"] for h in a["changes"]] == [3, 1, 2] and [w["award_no"] for w in a["awards"]] == ["1", "2"]
+    assert (b["files"], b["item_total"], b["items"], b["changes"], b["awards"]) == ([], 0, [], [], [])

@@ -252,3 +252,11 @@ def test_instants_do_not_hang_on_the_session_zone(spark):
         assert df.select(instants.utc_instant(F.col("t"), F.col("s"))).first()[0] == "2026-09-20T07:00:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_instants_of_long_texts(spark):
+    """Padding of any length, long digits and long rubbish."""
+    texts = [" " * 500 + "05/03/2026 10:00 " + "\t" * 300, "1" * 400, "5/3/2026 " + "x" * 100_000, "1772700000123456789", "99", " 1772700000 ", "|" * 14, ""]
+    df = spark.createDataFrame([(i, t, "nupco") for i, t in enumerate(texts)], "post_id long, opening_date string, source string")
+    got = {r["post_id"]: r["instant_utc"] for r in instants.field_instants(df, ("opening_date",)).collect()}
+    assert got == {0: "2026-03-05T07:00:00Z", 3: "2026-03-05T08:40:00Z", 4: "1970-01-01T00:01:39Z", 5: "2026-03-05T08:40:00Z"}
