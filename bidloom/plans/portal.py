@@ -306,40 +306,44 @@ def detail_links(spark: SparkSession, d: str) -> DataFrame:
 
 # --- upsert, delist ---
 
-_STAND = """(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY snapshot_no, post_id ORDER BY CAST(last_seen_at AS TIMESTAMPTZ) DESC NULLS LAST, content_hash DESC NULLS LAST) AS k
-  FROM tender_snapshots) WHERE k = 1 AND snapshot_no = {n})"""
+_STAND = """(SELECT *, snapshot_no {shift} AS delivery FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY snapshot_no, post_id ORDER BY CAST(last_seen_at AS TIMESTAMPTZ) DESC NULLS LAST, content_hash DESC NULLS LAST) AS k
+  FROM tender_snapshots WHERE post_id IS NOT NULL) WHERE k = 1 AND snapshot_no {which})"""
+_BOTH = f"{_STAND.format(shift='+ 1', which='<= 5')} a FULL JOIN {_STAND.format(shift='+ 0', which='>= 2')} b ON a.post_id = b.post_id AND a.delivery = b.delivery"
 
 
-def _two_states(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The third snapshot as stored, the fourth as delivered."""
+def _upserted(spark: SparkSession, d: str) -> DataFrame:
+    """Every snapshot delivered on top of the one before it; the key is the number of the delivery and the tender."""
     columns = ("content_hash", "tender_id", "source", "status_label", "is_listed", "last_seen_at")
-    rows = standing_rows(table(spark, d, "tender_snapshots"), states=columns)
-    stored, new = (rows.where(F.col("snapshot_no") == n).drop("snapshot_no") for n in (3, 4))
+    rows = standing_rows(table(spark, d, "tender_snapshots"), states=columns).where(F.col("post_id").isNotNull())
+    number = F.col("snapshot_no")
+    keyed = lambda df, n: df.withColumn("key", F.concat_ws(":", n.cast("string"), F.col("post_id").cast("string"))).drop("snapshot_no", "post_id")
     stamps = {c: F.lit("2026-07-20") for c in ("first_seen_at", "last_changed_at")}
-    return stored.withColumns(stamps), new
+    stored, new = keyed(rows.where(number <= 5), number + 1).withColumns(stamps), keyed(rows.where(number >= 2), number)
+    return upsert.upsert(stored, new, AS_OF, 4, key="key", tracked=("tender_id", "status_label"))
 
 
-def _upserted(spark: SparkSession, d: str) -> DataFrame:
-    return upsert.upsert(*_two_states(spark, d), AS_OF, 4, tracked=("tender_id", "status_label"))
+def _by_delivery(df: DataFrame, *columns: str) -> DataFrame:
+    part = F.split("key", ":")
+    return df.select(part[0].cast("int").alias("delivery"), part[1].cast("long").alias("post_id"), *columns)
 
 
 _STATE = """CASE WHEN a.post_id IS NULL THEN 'new' WHEN b.post_id IS NULL THEN 'kept' WHEN COALESCE(TRIM(a.status_label), '') <> COALESCE(TRIM(b.status_label), '')
   OR COALESCE(TRIM(a.tender_id), '') <> COALESCE(TRIM(b.tender_id), '') OR a.is_listed IS DISTINCT FROM b.is_listed THEN 'changed' ELSE 'same' END"""
 
 
-@query(f"SELECT COALESCE(a.post_id, b.post_id) AS post_id, {_STATE} AS state FROM {_STAND.format(n=3)} a FULL JOIN {_STAND.format(n=4)} b ON a.post_id = b.post_id")
+@query(f"SELECT COALESCE(a.delivery, b.delivery) AS delivery, COALESCE(a.post_id, b.post_id) AS post_id, {_STATE} AS state FROM {_BOTH}")
 def upsert_states(spark: SparkSession, d: str) -> DataFrame:
-    return _upserted(spark, d).select("post_id", "state")
+    return _by_delivery(_upserted(spark, d), "state")
 
 
-@query(f"""WITH p AS (SELECT COALESCE(a.post_id, b.post_id) AS post_id, a.post_id AS o, b.post_id AS n, a.status_label AS s0, b.status_label AS s1, a.tender_id AS t0, b.tender_id AS t1, a.is_listed AS l0, b.is_listed AS l1
-    FROM {_STAND.format(n=3)} a FULL JOIN {_STAND.format(n=4)} b ON a.post_id = b.post_id)
-  SELECT post_id, '_record' AS field, NULL AS old_value, t1 AS new_value, 'new' AS change_kind FROM p WHERE o IS NULL
-  UNION ALL SELECT post_id, 'status_label', s0, s1, 'update' FROM p WHERE o IS NOT NULL AND n IS NOT NULL AND COALESCE(TRIM(s0), '') <> COALESCE(TRIM(s1), '')
-  UNION ALL SELECT post_id, 'tender_id', t0, t1, 'update' FROM p WHERE o IS NOT NULL AND n IS NOT NULL AND COALESCE(TRIM(t0), '') <> COALESCE(TRIM(t1), '')
-  UNION ALL SELECT post_id, 'is_listed', l0::VARCHAR, l1::VARCHAR, CASE WHEN COALESCE(l1, 0) <> 0 THEN 'relist' ELSE 'delist' END FROM p WHERE o IS NOT NULL AND n IS NOT NULL AND l0 IS DISTINCT FROM l1""")
+@query(f"""WITH p AS (SELECT COALESCE(a.delivery, b.delivery) AS delivery, COALESCE(a.post_id, b.post_id) AS post_id, a.post_id AS o, b.post_id AS n, a.status_label AS s0, b.status_label AS s1, a.tender_id AS t0, b.tender_id AS t1, a.is_listed AS l0, b.is_listed AS l1
+    FROM {_BOTH})
+  SELECT delivery, post_id, '_record' AS field, NULL AS old_value, t1 AS new_value, 'new' AS change_kind FROM p WHERE o IS NULL
+  UNION ALL SELECT delivery, post_id, 'status_label', s0, s1, 'update' FROM p WHERE o IS NOT NULL AND n IS NOT NULL AND COALESCE(TRIM(s0), '') <> COALESCE(TRIM(s1), '')
+  UNION ALL SELECT delivery, post_id, 'tender_id', t0, t1, 'update' FROM p WHERE o IS NOT NULL AND n IS NOT NULL AND COALESCE(TRIM(t0), '') <> COALESCE(TRIM(t1), '')
+  UNION ALL SELECT delivery, post_id, 'is_listed', l0::VARCHAR, l1::VARCHAR, CASE WHEN COALESCE(l1, 0) <> 0 THEN 'relist' ELSE 'delist' END FROM p WHERE o IS NOT NULL AND n IS NOT NULL AND l0 IS DISTINCT FROM l1""")
 def upsert_history(spark: SparkSession, d: str) -> DataFrame:
-    return upsert.history_rows(_upserted(spark, d)).select("post_id", "field", "old_value", "new_value", "change_kind")
+    return _by_delivery(upsert.history_rows(_upserted(spark, d), "key"), "field", "old_value", "new_value", "change_kind")
 
 
 @query(f"""SELECT t.post_id, t.tender_id, 'delist' AS change_kind FROM tenders t WHERE t.source = 'nupco' AND t.is_listed = 1
